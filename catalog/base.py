@@ -124,7 +124,8 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def summaries(spark: SparkSession, folder: str) -> DataFrame:
+def summaries(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd") -> DataFrame:
+    """One row per query of a run; a run is a day of orders, or a month with ``yyyy-MM-01``."""
     o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
     lines = (
         table(spark, folder, "lineitem")
@@ -134,7 +135,7 @@ def summaries(spark: SparkSession, folder: str) -> DataFrame:
             F.count_if(F.col("l_returnflag") != "R").alias("comments_count"),
         )
     )
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.date_format("o_orderdate", day_format)
     joined = o.join(c, o["o_custkey"] == c["c_custkey"]).join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return joined.select(
         F.concat(F.lit("daily-"), day).alias("run_id"),
@@ -151,12 +152,12 @@ def summaries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def errors(spark: SparkSession, folder: str) -> DataFrame:
+def errors(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd") -> DataFrame:
     o = table(spark, folder, "orders")
     returned = table(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R")
     joined = returned.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.concat(F.lit("daily-"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("run_id"),
+        F.concat(F.lit("daily-"), F.date_format("o_orderdate", day_format)).alias("run_id"),
         F.concat(F.lit("q"), F.col("o_custkey")).alias("query_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"),
         F.concat(F.lit("part "), F.col("l_partkey"), F.lit(" returned")).alias("error"),
@@ -230,7 +231,7 @@ def untidy(spark: SparkSession, folder: str) -> DataFrame:
         F.when(n % 4 == 0, text("user ", "user_id")).alias("author_display_name"),
         text("name ", "user_id").alias("author_name"),
         F.when(n % 37 == 0, "bad").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("collection_date"),
-        iso.alias("ingested_at"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"),
         F.concat(F.lit("daily-"), F.date_format("ts", "yyyyMMdd")).alias("run_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("plan_date"),
     )
@@ -386,7 +387,7 @@ VIEWS = {
     CASE n % 23 WHEN 0 THEN 'not a date' ELSE iso END AS comment_published_at,
     CASE n % 31 WHEN 0 THEN NULL ELSE iso END AS comment_updated_at, CAST(k AS VARCHAR) AS reply_count,
     CASE n % 4 WHEN 0 THEN 'user ' || user_id END AS author_display_name, 'name ' || user_id AS author_name,
-    CASE n % 37 WHEN 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d') END AS collection_date, iso AS ingested_at,
+    CASE n % 37 WHEN 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d') END AS collection_date, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at,
     'daily-' || strftime(ts, '%Y%m%d') AS run_id, strftime(ts, '%Y-%m-%d') AS plan_date
   FROM (SELECT *, event_id AS n, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso FROM ev)""",
     "man": """

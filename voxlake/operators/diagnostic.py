@@ -256,7 +256,7 @@ def like_box(distribution: DataFrame) -> DataFrame:
     Likes are counted per value first, so the exact quartiles work on value counts, not on all comments.
     """
     counts = distribution.groupBy("sentiment_label", "resolved_like_count").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = F.percentile("resolved_like_count", [0.25, 0.5, 0.75], "n")
+    quartiles = F.percentile("resolved_like_count", [0.25, 0.5, 0.75], F.col("n"))
     stats = counts.groupBy("sentiment_label").agg(
         F.sum("n").alias("comments_count"),
         F.min("resolved_like_count").alias("min_likes"),

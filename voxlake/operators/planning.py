@@ -164,15 +164,18 @@ def _inline_match(text: Column, rows: Sequence[tuple[int, str, str, str]]) -> Co
             for n, g, t, a in rows
         ]
     )
-    hits = F.filter(entries, lambda e: F.contains(e.alias, text) | F.contains(text, e.alias))
+    hits = F.filter(entries, lambda e: F.contains(e["alias"], text) | F.contains(text, e["alias"]))
     return F.try_element_at(hits, F.lit(1))
 
 
 def _grams(text: Column) -> Column:
     """Distinct substrings of 1 to 3 characters."""
     places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    pieces = [F.transform(places, lambda i, n=n: F.substring(text, i, F.lit(n))) for n in (1, 2, 3)]
-    return F.array_distinct(F.concat(*pieces))
+
+    def pieces(length: int) -> Column:
+        return F.transform(places, lambda start: F.substring(text, start, F.lit(length)))
+
+    return F.array_distinct(F.concat(pieces(1), pieces(2), pieces(3)))
 
 
 def match_aliases(queries: DataFrame, aliases: DataFrame, text: str = "_text") -> DataFrame:

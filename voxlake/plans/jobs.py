@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from voxlake.operators import bronze, forecast, marts, planning, runs, scoring,
 from voxlake.session import scratch_path
 from voxlake.sinks.runlogs import collection_run_log, daily_run_log, historical_run_log
 from voxlake.sinks.tables import append, write_contract
-from voxlake.sinks.upsert import merge_counts, merge_rows, upsertable
+from voxlake.sinks.upsert import merge_rows, upsertable
 from voxlake.sources.docstore import scan_collection
 from voxlake.sources.documents import limit_per_source, source_summary
 from voxlake.sources.tables import DEFAULT_FORMAT, read_contract, read_if_exists
@@ -48,13 +49,19 @@ def now_iso() -> str:
     return dt.datetime.now(dt.UTC).isoformat()
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Count rows (and further metrics) while the frame is being written."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    named = [metric.alias(name) for name, metric in metrics.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named), seen
 
 
-def _rows(seen: Observation) -> int:
-    return int(seen.get.get("rows") or 0)
+def _rows(seen: Observation, metric: str = "rows") -> int:
+    """An observed count; adaptive execution drops the observation of an input that turns out empty."""
+    try:
+        return int(seen.get.get(metric) or 0)
+    except Py4JJavaError:
+        return 0
 
 
 def bronze_daily(
@@ -150,7 +157,7 @@ def backfill(
     limit_records: int | None = None,
     dry_run: bool = False,
     fmt: str = DEFAULT_FORMAT,
-) -> dict[str, DataFrame]:
+) -> dict[str, Any]:
     """Documents of all sources into the store by one keyed upsert over their union.
 
     Each source has ``source_type``, ``source_path`` and ``position``. The merged store goes to a new path; the
@@ -164,14 +171,25 @@ def backfill(
         return out
     tags = ["source_type", "source_path", "position"]
     order: list[Column] = [F.col("mongo_loaded_at").desc_nulls_last(), F.col("position").desc_nulls_last()]
-    incoming = upsertable(documents, order).drop(*[c for c in tags if c in documents.columns])
+    given, read = _observed(documents)
+    incoming = upsertable(given, order).drop(*[c for c in tags if c in documents.columns])
     existing = read_if_exists(spark, store_path, fmt)
     if existing is None:
-        existing = incoming.limit(0)
-    merge_rows(existing, incoming).write.format(fmt).mode("error").save(new_store_path)
-    written = spark.read.format(fmt).load(new_store_path)
-    total = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-    out["counts"] = merge_counts(written, total)
+        existing = spark.createDataFrame([], incoming.schema)
+    action = F.col("_action")
+    merged, seen = _observed(
+        merge_rows(existing, incoming),
+        matched=F.count_if(action.isin("matched", "modified")),
+        modified=F.count_if(action == "modified"),
+        upserted=F.count_if(action == "upserted"),
+    )
+    merged.drop("_action").write.format(fmt).mode("error").save(new_store_path)
+    out["counts"] = {
+        "input_documents": _rows(read),
+        "matched_documents": _rows(seen, "matched"),
+        "modified_documents": _rows(seen, "modified"),
+        "upserted_documents": _rows(seen, "upserted"),
+    }
     return out
 
 
@@ -339,23 +357,28 @@ def custom_query_refresh(
     """Add or update a custom query, load its records, and refresh only what they touch.
 
     Silver is rebuilt as a whole (a new version of a comment may move it to another date); scores and the dated
-    marts are recomputed for the collection dates of the new rows only, plus the dates their comments left.
+    marts are recomputed for the collection dates of the new rows and the dates their comments left. A date that
+    lost its last comment leaves no partition to replace, so then everything is recomputed.
     """
     at = at or now_iso()
     upserted = planning.upsert_queries(registry, query, aliases)
     plan = upserted.filter(F.col("action").isNotNull())
-    before = read_if_exists(spark, CONTRACTS[SCORED].path(root), fmt, CONTRACTS[SCORED].schema)
+    had_scores = read_if_exists(spark, CONTRACTS[SCORED].path(root), fmt) is not None
+    new_ids = records.select(F.trim("comment_id").alias("comment_id")).distinct()
+
+    def dates_of(key: str) -> set[str]:
+        """Collection dates of the new comments (a handful of days), as one table has them."""
+        rows = read_contract(spark, root, key, fmt).join(new_ids, "comment_id", "left_semi")
+        return {row["d"] for row in rows.select(F.col("collection_date").cast("string").alias("d")).distinct().collect()}
+
+    left = dates_of(SCORED) if had_scores else set()
     loaded = bronze_daily(spark, root, records, manifests, plan, at, fmt)
     silver_out = build_silver(spark, root, fmt=fmt)
-    new_ids = records.select("comment_id").distinct()
-    moved = read_contract(spark, root, SILVER, fmt).join(new_ids, "comment_id", "left_semi")
-    dates = moved.select(F.col("collection_date").cast("string").alias("d")).distinct()
-    if before is not None:
-        old = before.join(new_ids, "comment_id", "left_semi")
-        dates = dates.union(old.select(F.col("collection_date").alias("d"))).distinct()
-    touched = sorted(row["d"] for row in dates.collect() if row["d"])
-    score_silver(spark, root, at, dates=touched if before is not None else None, fmt=fmt)
-    part = touched if before is not None else None
+    touched = sorted((left | dates_of(SILVER)) - {None})
+    remaining = read_contract(spark, root, SILVER, fmt).select(F.col("collection_date").cast("string").alias("d"))
+    kept = {row["d"] for row in remaining.filter(F.col("d").isin(touched)).distinct().collect()}
+    part = touched if had_scores and kept == set(touched) else None
+    score_silver(spark, root, at, dates=part, fmt=fmt)
     return {
         "registry": upserted,
         "bronze": loaded,
@@ -366,5 +389,3 @@ def custom_query_refresh(
         "predictive": predictive_gold(spark, root, fmt=fmt),
         "overview": overview_gold(spark, root, fmt),
     }
-
-

@@ -6,14 +6,13 @@ sums are exact in both engines whatever the order of addition.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.session import scratch_path
+from voxlake.session import scratch_path, spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,12 +39,13 @@ def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table; the files of the small scales have one row group, so small scans are spread."""
+    return spread_small(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder for queries that write before they read."""
-    return scratch_path(spark, name, default=f"{tempfile.gettempdir()}/voxlake")
+    return scratch_path(spark, name)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

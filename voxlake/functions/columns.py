@@ -58,6 +58,8 @@ def text_of(df: DataFrame, name: str) -> Column:
 
 def safe_text(value: Column, default: Column | str | None = "") -> Column:
     """Text without surrounding whitespace; null and blank become the default."""
+    if isinstance(default, str) and default == "":
+        return F.coalesce(F.btrim(value.cast("string"), F.lit(WHITESPACE)), F.lit(""))
     fallback = default if isinstance(default, Column) else F.lit(default)
     return F.coalesce(F.nullif(F.btrim(value.cast("string"), F.lit(WHITESPACE)), F.lit("")), fallback)
 
@@ -134,9 +136,8 @@ def language_parts(value: Column) -> tuple[Column, Column]:
 
 def watch_url(video_id: Column, existing: Column | None = None) -> Column:
     """The given address, else the one that follows from the video id, else blank."""
-    derived = F.when(
-        safe_text(video_id) != "", F.concat(F.lit("https://www.youtube.com/watch?v="), safe_text(video_id))
-    ).otherwise("")
+    cleaned = F.nullif(F.btrim(video_id.cast("string"), F.lit(WHITESPACE)), F.lit(""))
+    derived = F.coalesce(F.concat(F.lit("https://www.youtube.com/watch?v="), cleaned), F.lit(""))
     return derived if existing is None else safe_text(existing, derived)
 
 

@@ -46,9 +46,9 @@ class Lexicon:
     threshold: float = 0.2
 
 
-def lexicon_tokens(text: Column) -> Column:
-    plain = F.replace(F.lower(text), F.lit("’"), F.lit("'"))
-    return F.regexp_extract_all(plain, F.lit("[a-z']+"), 0)
+def lexicon_text(text: Column) -> Column:
+    """The text as it is tokenized: lower case, typographic apostrophes made plain."""
+    return F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("’"), F.lit("'"))
 
 
 def _emoji_hits(text: Column, emojis: Iterable[str]) -> Column:
@@ -58,35 +58,52 @@ def _emoji_hits(text: Column, emojis: Iterable[str]) -> Column:
     return total
 
 
+def word_pattern(words: Iterable[str]) -> str:
+    """A regular expression for any of the words with shared prefixes written once, so that matching a position
+    costs its common prefix and not one attempt per word."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def branch(node: dict) -> str:
+        ways = [letter + branch(rest) for letter, rest in sorted(node.items()) if letter]
+        if not ways:
+            return ""
+        body = "(?:" + "|".join(ways) + ")"
+        return body + "?" if "" in node else body
+
+    return branch(tree) or "(?!)"
+
+
 def lexicon_hits(text: Column, lexicon: Lexicon) -> Column:
-    """struct(positive_hits, negative_hits, token_count) in one pass over the tokens.
+    """struct(positive_hits, negative_hits, token_count).
 
-    The fold carries whether the token before was a negation, so no shifted copy of the token array is built.
+    Tokens are runs of ``[a-z']``. Three scans of the text: all lexicon words, those right after a negation
+    (found by looking ahead from the negation, so neither consumes the other), and the token count. Only the few
+    matches are handled one by one.
     """
-    safe = F.coalesce(text, F.lit(""))
-
-    def step(state: Column, token: Column) -> Column:
-        good, bad = token.isin(list(lexicon.positive)), token.isin(list(lexicon.negative))
-        up = F.when(good & ~state.negated, 1).otherwise(0) + F.when(bad & state.negated, 1).otherwise(0)
-        down = F.when(bad & ~state.negated, 1).otherwise(0) + F.when(good & state.negated, 1).otherwise(0)
-        return F.struct(
-            token.isin(list(lexicon.negations)).alias("negated"),
-            (state.positive + up).alias("positive"),
-            (state.negative + down).alias("negative"),
-            (state.tokens + 1).alias("tokens"),
-        )
-
-    start = F.struct(
-        F.lit(False).alias("negated"),
-        F.lit(0).alias("positive"),
-        F.lit(0).alias("negative"),
-        F.lit(0).alias("tokens"),
-    )
-    words = F.aggregate(lexicon_tokens(safe), start, step)
+    plain = lexicon_text(text)
+    positive, negative = list(lexicon.positive), list(lexicon.negative)
+    start, end = "(?<![a-z'])", "(?![a-z'])"
+    word = word_pattern(w for w in [*positive, *negative] if w)
+    negation = word_pattern(w for w in lexicon.negations if w)
+    found = F.regexp_extract_all(plain, F.lit(f"{start}{word}{end}"), 0)
+    flipped = F.regexp_extract_all(plain, F.lit(f"{start}{negation}(?=[^a-z']+({word}){end})"), 1)
+
+    def number(hits: Column, words: list[str]) -> Column:
+        return F.size(F.filter(hits, lambda token: token.isin(words)))
+
+    def net(up: list[str], down: list[str]) -> Column:
+        return number(found, up) - number(flipped, up) + number(flipped, down)
+
+    raw = F.coalesce(text, F.lit(""))
     return F.struct(
-        (words.positive + _emoji_hits(safe, lexicon.positive_emojis)).alias("positive_hits"),
-        (words.negative + _emoji_hits(safe, lexicon.negative_emojis)).alias("negative_hits"),
-        words.tokens.alias("token_count"),
+        (net(positive, negative) + _emoji_hits(raw, lexicon.positive_emojis)).alias("positive_hits"),
+        (net(negative, positive) + _emoji_hits(raw, lexicon.negative_emojis)).alias("negative_hits"),
+        F.size(F.regexp_extract_all(plain, F.lit("[a-z']+"), 0)).alias("token_count"),
     )
 
 

@@ -14,6 +14,7 @@ from voxlake.functions.columns import (
     extended_date,
     language_parts,
     pick,
+    present,
     safe_int,
     safe_text,
     strict_int,
@@ -40,19 +41,25 @@ def with_plan(records: DataFrame, plan: DataFrame | None) -> DataFrame:
 
 
 def _plan_text(df: DataFrame, name: str) -> Column:
-    return safe_text(pick(df, [name]), safe_text(F.col(f"plan_{name}"), _PLAN_TEXT[name])).alias(name)
+    return safe_text(_picked(df, name), safe_text(F.col(f"plan_{name}"), _PLAN_TEXT[name])).alias(name)
 
 
 def _plan_count(df: DataFrame, name: str) -> Column:
-    return safe_int(pick(df, [name]), safe_int(F.col(f"plan_{name}"))).alias(name)
+    return safe_int(_picked(df, name), safe_int(F.col(f"plan_{name}"))).alias(name)
+
+
+def _picked(df: DataFrame, *names: str) -> Column:
+    """``pick``, without the blank check where only one of the names exists (blanks are trimmed away later)."""
+    found = present(df, names)
+    return text_of(df, found[0]) if len(found) == 1 else pick(df, names)
 
 
 def _text(df: DataFrame, *names: str, default: str = "") -> Column:
-    return safe_text(pick(df, names), default).alias(names[0])
+    return safe_text(_picked(df, *names), default).alias(names[0])
 
 
 def _count(df: DataFrame, name: str, *others: str) -> Column:
-    return safe_int(pick(df, [name, *others])).alias(name)
+    return safe_int(_picked(df, name, *others)).alias(name)
 
 
 def raw_copy(records: DataFrame) -> Column:
@@ -107,7 +114,7 @@ def _comment_columns(df: DataFrame, *likes: str) -> list[Column]:
         _text(df, "video_title", "title"),
         _text(df, "channel_title", "video_channel_title"),
         _text(df, "video_published_at"),
-        watch_url(pick(df, ["video_id"]), pick(df, ["video_url"])).alias("video_url"),
+        watch_url(_picked(df, "video_id"), _picked(df, "video_url")).alias("video_url"),
         _text(df, "thread_id", "comment_thread_id"),
         _text(df, "comment_text", "text"),
         safe_int(pick(df, likes)).alias("comment_like_count"),

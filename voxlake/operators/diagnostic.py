@@ -18,7 +18,7 @@ from voxlake.functions.numeric import (
 )
 from voxlake.functions.text import DRIVER_STOP_WORDS, display_text, normalized, shorten
 from voxlake.operators.descriptive import likes
-from voxlake.operators.marts import comment_keywords
+from voxlake.operators.marts import comment_keywords, distinct_comments, flag_repeats
 
 # The diagnostic page prefers the other like column first.
 _LIKE_NAMES = ("comment_like_count", "like_count")
@@ -148,13 +148,15 @@ def comment_drivers(
 ) -> DataFrame:
     """Driver words of one sign from comment texts; topic and genre are those of the first comment id."""
     signed = _signed(comments, positive, "sentiment_score")
-    words = comment_keywords(signed, ["comment_id", "topic", "genre", "sentiment_score"], stop_words)
+    columns = ["comment_id", "topic", "genre", "sentiment_score", "comment_text"]
+    flagged, repeats = flag_repeats(signed.select(*columns), [])
+    words = comment_keywords(flagged, [*columns[:4], "_again"], stop_words)
     text = lambda name: F.coalesce(F.col(name), F.lit("unknown"))
     first = F.min_by(F.struct(text("topic").alias("topic"), text("genre").alias("genre")),
                      F.struct("comment_id", text("topic"), text("genre")))
     out = words.groupBy("keyword").agg(
         F.count(F.lit(1)).alias("keyword_count"),
-        F.count_distinct("comment_id").alias("distinct_comments"),
+        distinct_comments(repeats).alias("distinct_comments"),
         F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment_score"),
         first.alias("_first"),
     )

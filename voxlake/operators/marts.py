@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from voxlake.functions.columns import as_date, as_timestamp, col_or_null, double_or_zero, first_present, int_or_zero
 from voxlake.functions.numeric import ratio
 from voxlake.functions.text import MART_STOP_WORDS, is_keyword, word_runs
+from voxlake.session import broadcast_if_small, staged
 
 _TEXT = (
     "platform query_id query_text topic genre video_id video_title channel_title comment_id comment_text "
     "sentiment_label sentiment_backend sentiment_model"
 ).split()
+_VIDEOS = {"videos_covered": "video_id"}
 _COUNTS = "comment_like_count reply_count positive_hits negative_hits token_count".split()
 
 
@@ -55,34 +57,62 @@ def metric_columns(unique_ids: bool = False) -> list[Column]:
     return [
         _distinct("comment_id", unique_ids).alias("comments_count"),
         *[_label_count(name) for name in ("positive", "neutral", "negative")],
-        *[
-            F.round(F.avg(source), 4).alias(f"avg_{source}")
-            for source in (
-                "sentiment_score",
-                "sentiment_confidence",
-                "negative_probability",
-                "neutral_probability",
-                "positive_probability",
-            )
-        ],
+        *[F.round(F.avg(name), 4).alias(f"avg_{name}") for name in _AVERAGES],
         F.sum("comment_like_count").alias("total_comment_likes"),
         F.round(F.avg("comment_like_count"), 4).alias("avg_comment_likes"),
     ]
 
 
+_AVERAGES = (
+    "sentiment_score sentiment_confidence negative_probability neutral_probability positive_probability"
+).split()
+
+
+def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
+    """Mart with several distinct counts for unique comment ids.
+
+    One aggregate with several distinct counts would copy every input row once per count. Here the rows are first
+    added up per key and counted values, and only those sums are copied.
+    """
+    values = [name for name in dict.fromkeys(distinct.values()) if name not in keys]
+    sums = df.groupBy(*keys, *values).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("comment_id").alias("_ids"),
+        *[_label_count(name) for name in ("positive", "neutral", "negative")],
+        *[F.sum(name).alias(name) for name in [*_AVERAGES, "comment_like_count"]],
+    )
+    mean = lambda name: F.round(F.sum(name) / F.sum("_rows"), 4)
+    return sums.groupBy(*keys).agg(
+        *[F.count_distinct(name).alias(alias) for alias, name in distinct.items()],
+        F.sum("_ids").alias("comments_count"),
+        *[F.sum(f"{name}_comments").alias(f"{name}_comments") for name in ("positive", "neutral", "negative")],
+        *[mean(name).alias(f"avg_{name}") for name in _AVERAGES],
+        F.sum("comment_like_count").alias("total_comment_likes"),
+        mean("comment_like_count").alias("avg_comment_likes"),
+    )
+
+
 def _mart(
     df: DataFrame,
     keys: Sequence[str],
-    extra: Sequence[Column] = (),
+    distinct: dict[str, str] | None = None,
     unique_ids: bool = False,
     built_at: str | None = None,
     ratios: bool = True,
 ) -> DataFrame:
-    """Group by the non-null keys; ratios divide label ROWS by distinct ids."""
+    """Group by the non-null keys; ``distinct`` maps result names to columns whose values are counted.
+
+    Ratios divide label ROWS by distinct ids.
+    """
+    counted = distinct or {}
     keyed = df
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull())
-    out = keyed.groupBy(*keys).agg(*extra, *metric_columns(unique_ids))
+    if unique_ids and len(counted) > 1:
+        out = _two_step(keyed, keys, counted)
+    else:
+        extra = [F.count_distinct(name).alias(alias) for alias, name in counted.items()]
+        out = keyed.groupBy(*keys).agg(*extra, *metric_columns(unique_ids))
     if ratios:
         out = out.withColumns(
             {
@@ -94,42 +124,33 @@ def _mart(
 
 
 def daily_summary(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    return _mart(prepare_scored(scored), ["collection_date", "topic", "genre"], (), unique_ids, built_at)
+    return _mart(prepare_scored(scored), ["collection_date", "topic", "genre"], None, unique_ids, built_at)
 
 
 def video_summary(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
     keys = ["collection_date", "topic", "genre", "video_id", "video_title", "channel_title"]
-    return _mart(prepare_scored(scored), keys, (), unique_ids, built_at)
+    return _mart(prepare_scored(scored), keys, None, unique_ids, built_at)
 
 
 def topic_summary(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    extra = [
-        F.count_distinct("collection_date").alias("collection_dates_seen"),
-        F.count_distinct("video_id").alias("videos_covered"),
-    ]
-    return _mart(prepare_scored(scored), ["topic", "genre"], extra, unique_ids, built_at)
+    counted = {"collection_dates_seen": "collection_date", **_VIDEOS}
+    return _mart(prepare_scored(scored), ["topic", "genre"], counted, unique_ids, built_at)
 
 
 def daily_trend(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    extra = [F.count_distinct("video_id").alias("videos_covered")]
-    return _mart(prepare_scored(scored), ["collection_date", "topic", "genre"], extra, unique_ids, built_at)
+    return _mart(prepare_scored(scored), ["collection_date", "topic", "genre"], _VIDEOS, unique_ids, built_at)
 
 
 def weekday_hour(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
     """Comments by weekday name and hour of publication; rows without a time are left out."""
     published = prepare_scored(scored).filter(F.col("comment_published_at").isNotNull())
     keys = ["collection_date", "topic", "genre", "weekday_name", "comment_hour_24"]
-    extra = [F.count_distinct("video_id").alias("videos_covered")]
-    return _mart(published, keys, extra, unique_ids, built_at, ratios=False)
+    return _mart(published, keys, _VIDEOS, unique_ids, built_at, ratios=False)
 
 
 def overview_kpis(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    extra = [
-        F.count_distinct("topic").alias("topics_covered"),
-        F.count_distinct("genre").alias("genres_covered"),
-        F.count_distinct("video_id").alias("videos_covered"),
-    ]
-    return _mart(prepare_scored(scored), ["collection_date", "platform"], extra, unique_ids, built_at)
+    counted = {"topics_covered": "topic", "genres_covered": "genre", **_VIDEOS}
+    return _mart(prepare_scored(scored), ["collection_date", "platform"], counted, unique_ids, built_at)
 
 
 def comment_keywords(df: DataFrame, columns: Sequence[str | Column], stop_words: Sequence[str]) -> DataFrame:
@@ -138,6 +159,31 @@ def comment_keywords(df: DataFrame, columns: Sequence[str | Column], stop_words:
     return df.select(*columns, words).filter(is_keyword(F.col("keyword"), stop_words))
 
 
+def flag_repeats(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, bool]:
+    """``_again``: whether the row's comment id occurs more than once in its group, and whether any does.
+
+    Found by one aggregate over the ids alone. It lets keyword counts add up per keyword before the shuffle, because
+    only repeated ids still have to be told apart per keyword; with distinct ids (the usual case) none do.
+    """
+    repeated = df.groupBy(*keys, "comment_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = staged(repeated, "repeated-ids")
+    rows = found.count()
+    if rows == 0:
+        return df.withColumn("_again", F.lit(False)), False
+    names = [*keys, "comment_id"]
+    side = broadcast_if_small(found.select([F.col(n).alias(f"r_{n}") for n in names]), rows)
+    joined = df.join(side, [F.col(n).eqNullSafe(F.col(f"r_{n}")) for n in names], "left")
+    return joined.withColumn("_again", F.col("r_comment_id").isNotNull()).drop(*side.columns), True
+
+
+def distinct_comments(repeats: bool) -> Column:
+    """Aggregate over flagged keyword rows: distinct comment ids, of which only repeated ones need a distinct."""
+    if not repeats:
+        return F.count(F.lit(1))
+    once = F.count_if(~F.col("_again"))
+    return once + F.count_distinct(F.when(F.col("_again"), F.col("comment_id")))
+
+
 def keyword_frequency(
     scored: DataFrame,
     top_n: int = 25,
@@ -147,16 +193,17 @@ def keyword_frequency(
 ) -> DataFrame:
     """The ``top_n`` keywords of each (date, topic, genre), null keys included, ties by keyword.
 
-    Rows are counted per (group, keyword) before the shuffle; the ranking keeps ``top_n`` rows per group and task
-    before its own shuffle, so no task sees a whole vocabulary of a large group.
+    Rows are counted per (group, keyword) before the shuffle (see ``flag_repeats``); the ranking keeps ``top_n``
+    rows per group and task before its own shuffle, so no task sees a whole vocabulary of a large group.
     """
     keys = ["collection_date", "topic", "genre"]
-    df = prepare_scored(scored)
-    comment = F.coalesce("comment_id", F.lit("<NA>")).alias("comment_id")
-    words = comment_keywords(df, [*keys, comment, "sentiment_score"], stop_words)
+    columns = [*keys, "comment_id", "sentiment_score", "comment_text"]
+    df = prepare_scored(scored).withColumn("comment_id", F.coalesce("comment_id", F.lit("<NA>"))).select(*columns)
+    flagged, repeats = (df.withColumn("_again", F.lit(False)), False) if unique_ids else flag_repeats(df, keys)
+    words = comment_keywords(flagged, [*keys, "comment_id", "_again", "sentiment_score"], stop_words)
     counted = words.groupBy(*keys, "keyword").agg(
         F.count(F.lit(1)).alias("keyword_count"),
-        _distinct("comment_id", unique_ids).alias("distinct_comments"),
+        distinct_comments(repeats).alias("distinct_comments"),
         F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment_score"),
     )
     window = Window.partitionBy(*keys).orderBy(F.col("keyword_count").desc(), F.col("keyword"))

@@ -110,7 +110,7 @@ def bronze_collection(
     scanned = scan_collection(documents, collection_date, limit)
     prepared = bronze.documents_to_bronze(scanned, at)
     target = read_if_exists(spark, contract.path(root), fmt, contract.schema if fmt == "parquet" else None)
-    staged_path = scratch_path(spark, "collection-rows", f"{root}/_staging")
+    staged_path = scratch_path(spark, "collection-rows")
     fresh, seen = _observed(bronze.missing_from(prepared, target))
     fresh.write.parquet(staged_path)
     staged = spark.read.schema(contract.schema).parquet(staged_path)

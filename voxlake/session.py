@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -25,28 +27,56 @@ def build_session(app_name: str = "voxlake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a frame; for a plain scan this is the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Hand a small scan out to all cores.
+
+    Spark does not cut files into pieces below ``spark.sql.files.openCostInBytes``, so a file smaller than that per
+    core (or one of a single row group) would be worked on by few tasks. Only scans below that bound are
+    redistributed; larger ones keep their own splits and nothing is moved.
+    """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    floor = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
+    return scan.repartition(cores) if plan_bytes(scan) < cores * floor else scan
+
+
+def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    ``default`` is used only where the setting is missing, which is the case in tests.
+    Only a local session without that setting, as in tests, falls back to the machine's temporary folder.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or default
+    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = f"{tempfile.gettempdir()}/voxlake"
     if not folder:
-        raise ValueError(f"{CHECKPOINT_KEY} is not set and no default folder was given")
+        raise ValueError(f"{CHECKPOINT_KEY} is not set")
     return folder.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str, default: str | None = None) -> str:
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return f"{shared_folder(spark, default)}/voxlake-{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/voxlake-{uuid.uuid4().hex}/{name}"
 
 
-def staged(df: DataFrame, name: str, default: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, and unlike cached blocks the result outlives a lost executor.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name, default)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(table: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a narrow table whose counted rows stay below the limit; else Spark chooses the join."""
+    return F.broadcast(table) if rows <= limit else table

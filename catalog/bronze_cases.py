@@ -603,13 +603,12 @@ def _counts(spark, d):
     return upsert.merge_counts(merged, fresh.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
-def _count_batch(batch: list[dict]) -> int:
-    return len(batch)
-
-
 @case("batched_writes", sql("SELECT count(*) AS documents FROM eng", "eng"))
 def _batches(spark, d):
-    written = upsert.write_in_batches(engagement(spark, d).select("comment_id", "topic"), _count_batch, 1000)
+    def deliver(batch: list[dict]) -> int:
+        return len(batch)
+
+    written = upsert.write_in_batches(engagement(spark, d).select("comment_id", "topic"), deliver, 1000)
     return written.agg(F.sum("documents").alias("documents"))
 
 

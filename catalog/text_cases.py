@@ -180,22 +180,6 @@ def _result(spark, d):
     return e.select("event_id", *[column.alias(name) for name, column in result.items()])
 
 
-def length_scorer():
-    """A stand-in model: class shares from the text's length, so that SQL can repeat it."""
-
-    def score(texts):
-        return [
-            [
-                {"label": "LABEL_2", "score": len(text) % 8 / 8},
-                {"label": "LABEL_1", "score": len(text) % 4 / 4},
-                {"label": "LABEL_0", "score": len(text) % 2 / 2},
-            ]
-            for text in texts
-        ]
-
-    return score
-
-
 _CLASSIFIED = """SELECT comment_id, round(p - n, 4) AS sentiment_score,
     CASE WHEN p >= u AND p >= n THEN 'positive' WHEN u >= n THEN 'neutral' ELSE 'negative' END AS sentiment_label,
     greatest(p, u, n) AS sentiment_confidence, CAST(round(p * 100) AS BIGINT) AS positive_hits,
@@ -217,6 +201,15 @@ def _as_bronze(df):
 
 @case("batch_classifier", sql(_CLASSIFIED, "com"))
 def _classifier(spark, d):
+    def length_scorer():
+        """A stand-in model: class shares from the text's length, so that SQL can repeat it."""
+
+        def score(texts):
+            shares = (("LABEL_2", 8), ("LABEL_1", 4), ("LABEL_0", 2))
+            return [[{"label": name, "score": len(text) % n / n} for name, n in shares] for text in texts]
+
+        return score
+
     plain = comments(spark, d).drop("sentiment_score", "sentiment_label")
     scored = scoring.enrich_sentiment(_as_bronze(plain), length_scorer, "length")
     names = "comment_id sentiment_score sentiment_label sentiment_confidence positive_hits negative_hits"

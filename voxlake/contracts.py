@@ -232,7 +232,8 @@ def _coerced(column: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, (T.LongType, T.IntegerType)):
         as_double = column.try_cast("double")
         whole = F.when(as_double == F.floor(as_double), as_double).try_cast(target)
-        return F.coalesce(column.try_cast(target), whole)
+        fractional = isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType))
+        return whole if fractional else F.coalesce(column.try_cast(target), whole)
     return column.try_cast(target)
 
 

@@ -23,7 +23,7 @@ from voxlake.functions.columns import (
 )
 from voxlake.operators.silver import keep_last
 from voxlake.sinks.runlogs import HISTORICAL
-from voxlake.sinks.upsert import DOCUMENT_KEY, with_text_keys
+from voxlake.sinks.upsert import DOCUMENT_KEY, key_columns
 
 # Plan fields that fill gaps of a record, with the default when both are blank.
 _PLAN_TEXT = {"query_text": "", "topic": "unknown", "genre": "unknown", "cadence": "unknown", "language_target": ""}
@@ -153,11 +153,11 @@ def documents_to_bronze(documents: DataFrame, loaded_at: str) -> DataFrame:
 
 def missing_from(rows: DataFrame, target: DataFrame | None, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
     """Rows whose key is not in the target yet (anti join on the key parts, of which the target scan reads no more)."""
-    keyed = with_text_keys(rows, keys)
     if target is None:
-        return keyed
-    known = with_text_keys(target.select(*keys), keys).distinct()
-    return keyed.join(known, list(keys), "left_anti").select(rows.columns)
+        return rows
+    known = target.select([part.alias(f"known_{key}") for key, part in zip(keys, key_columns(target, keys))]).distinct()
+    condition = [part == F.col(f"known_{key}") for key, part in zip(keys, key_columns(rows, keys))]
+    return rows.join(known, condition, "left_anti")
 
 
 def records_to_documents(

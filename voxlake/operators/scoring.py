@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxlake.functions.columns import int_or_zero
 from voxlake.functions.sentiment import (
+    LABEL_NAMES,
     Lexicon,
     hits_score,
     lexicon_hits,
@@ -69,6 +70,12 @@ def classify(factory: ScorerFactory, batch_size: int = 32) -> Callable[[Column],
     ``batch_size`` non-blank whole texts and returns label/score pairs for each. Only the text column travels
     to Python; everything that follows from the probabilities is computed in the JVM.
     """
+    known = dict(LABEL_NAMES)
+    parts = {"NEG": "negative", "NEU": "neutral", "POS": "positive"}
+
+    def label_name(label: str) -> str:
+        cleaned = str(label).strip().upper()
+        return known.get(cleaned) or next((name for part, name in parts.items() if part in cleaned), "neutral")
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory()
@@ -86,17 +93,6 @@ def classify(factory: ScorerFactory, batch_size: int = 32) -> Callable[[Column],
     return F.pandas_udf(run, "struct<positive: double, neutral: double, negative: double>")
 
 
-def label_name(label: str) -> str:
-    """Python twin of ``normalize_label`` for the few labels of a scorer's answer."""
-    from voxlake.functions.sentiment import LABEL_NAMES
-
-    cleaned = str(label).strip().upper()
-    if cleaned in LABEL_NAMES:
-        return LABEL_NAMES[cleaned]
-    parts = {"NEG": "negative", "NEU": "neutral", "POS": "positive"}
-    return next((name for part, name in parts.items() if part in cleaned), "neutral")
-
-
 def score_with_classifier(
     df: DataFrame, factory: ScorerFactory, model_name: str, batch_size: int = 32, text: str = "comment_text"
 ) -> DataFrame:

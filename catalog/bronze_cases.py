@@ -8,11 +8,14 @@ from catalog.base import (
     WS,
     case,
     engagement,
+    errors,
     int_sql,
     manifests,
     plan_rows,
+    registry,
     scratch,
     sql,
+    summaries,
     table,
     text_sql,
     threads,
@@ -789,3 +792,25 @@ def _backfill(spark, d):
     )
 
 
+view(
+    "day_silver",
+    """SELECT * FROM daily_bronze WHERE comment_id <> '' AND comment_text <> ''
+  QUALIFY row_number() OVER (PARTITION BY comment_id ORDER BY TRY_CAST(comment_updated_at AS TIMESTAMP) DESC NULLS LAST,
+    TRY_CAST(comment_published_at AS TIMESTAMP) DESC NULLS LAST) = 1""",
+    "daily_bronze",
+)
+
+
+@case(
+    "daily_run_job",
+    sql("SELECT collection_date, platform, count(*) AS comments_count FROM day_silver GROUP BY ALL", "day_silver"),
+)
+def _daily_run(spark, d):
+    root = scratch(spark, "lakehouse")
+    plan = registry(spark, d).withColumn("platform", F.lit("youtube"))
+    jobs.daily_run(
+        spark, root, plan, records(spark, d), manifests(spark, d), summaries(spark, d, "yyyy-MM-01"),
+        errors(spark, d, "yyyy-MM-01"), at=AT,
+    )
+    kpis = read_contract(spark, root, "gold.youtube_sentiment_overview_kpis")
+    return kpis.select("collection_date", "platform", "comments_count")

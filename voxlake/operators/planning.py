@@ -131,13 +131,11 @@ def newest_distinct(
     df: DataFrame, group: Sequence[str], item: str, time: str, limit: Column | int
 ) -> DataFrame:
     """The newest ``limit`` distinct items of each group; blank ids are dropped, repeats keep their newest row."""
-    from voxlake.operators.silver import newest_per_key
+    from voxlake.operators.silver import first_per_group, newest_per_key
 
     filled = df.filter(safe_text(F.col(item).cast("string")) != "")
     distinct = newest_per_key(filled, [*group, item], [F.col(time).desc_nulls_last()])
-    window = Window.partitionBy(*group).orderBy(F.col(time).desc_nulls_last(), F.col(item))
-    bound = limit if isinstance(limit, Column) else F.lit(limit)
-    return distinct.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= bound).drop("_n")
+    return first_per_group(distinct, group, [F.col(time).desc_nulls_last(), F.col(item)], limit)
 
 
 Aliases = Mapping[str, Mapping[str, Sequence[str]]]

@@ -25,6 +25,31 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+# Spark drops rows beyond a fixed row_number limit before the shuffle up to this limit (its default threshold).
+_PUSHED_LIMIT = 1000
+_SALTS = 64
+
+
+def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: Column | int) -> DataFrame:
+    """The first ``limit`` rows of each group; the limit may differ per row of a group-constant column.
+
+    Small fixed limits are cut before the shuffle by Spark itself. Otherwise the rows are ranked in two steps, first
+    in salted parts of the group, so a group with a third of all rows is sorted by many tasks and only the survivors
+    of each part meet. The first rows of a group are among the first rows of its parts, so nothing is lost.
+    """
+    bound = limit if isinstance(limit, Column) else F.lit(limit)
+    steps = [list(group)]
+    ranked = df
+    if isinstance(limit, Column) or limit > _PUSHED_LIMIT:
+        plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+        ranked = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(_SALTS)))
+        steps.insert(0, [*group, "_salt"])
+    for keys in steps:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = ranked.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= bound)
+    return ranked.drop("_n", "_salt")
+
+
 def union_bronze(inputs: dict[str, DataFrame | None]) -> DataFrame:
     """Union by column name of those bronze tables that exist, tagged with their name in ``source_table``."""
     frames = [df.withColumn("source_table", F.lit(name)) for name, df in inputs.items() if df is not None]

@@ -148,10 +148,9 @@ def parse_threads(documents: DataFrame, column: str = "document") -> DataFrame:
 
 def limit_per_source(records: DataFrame, limit: int | None, source: str = "source_path") -> DataFrame:
     """The first ``limit`` records of each source, in record order."""
-    if limit is None:
-        return records
-    order = Window.partitionBy(source).orderBy("position")
-    return records.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= limit).drop("_n")
+    from voxlake.operators.silver import first_per_group
+
+    return records if limit is None else first_per_group(records, [source], [F.col("position")], limit)
 
 
 def first_runs(manifests: DataFrame, limit_runs: int | None) -> DataFrame:

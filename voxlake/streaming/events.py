@@ -44,11 +44,14 @@ def consume_to_bronze(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         moment = executed_at or dt.datetime.now(dt.UTC).isoformat()
-        rows = envelopes_to_bronze(batch, moment, f"{consumer}-{batch_id}")
-        path = CONTRACTS[COMMENTS].path(root)
-        overwrite(align(rows, CONTRACTS[COMMENTS]), path, CONTRACTS[COMMENTS].partition_by, fmt, True)
-        log = stream_run_log(rows, consumer, batch_id, moment, root)
-        overwrite(align(log, CONTRACTS[RUNS]), CONTRACTS[RUNS].path(root), CONTRACTS[RUNS].partition_by, fmt, True)
+        rows = align(envelopes_to_bronze(batch, moment, f"{consumer}-{batch_id}"), CONTRACTS[COMMENTS]).persist()
+        try:
+            log = align(stream_run_log(rows, consumer, batch_id, moment, root), CONTRACTS[RUNS])
+            for key, frame in ((COMMENTS, rows), (RUNS, log)):
+                contract = CONTRACTS[key]
+                overwrite(frame, contract.path(root), contract.partition_by, fmt, only_touched_partitions=True)
+        finally:
+            rows.unpersist()
 
     return (
         messages.writeStream.foreachBatch(write)

@@ -646,7 +646,7 @@ def _run_log(spark, d):
 def _store_log(spark, d):
     u = untidy(spark, d)
     written = bronze.documents_to_bronze(u, AT)
-    log = runlogs.collection_run_log(u, written, "m1", AT, "store", dry_run=True)
+    log = runlogs.collection_run_log(spark, u.count(), written.count(), "m1", AT, "store", dry_run=True)
     return log.select(
         "run_id", "collection_date", "ingestion_type", "normalized_comments_path", "total_comments_collected",
         "ingested_records", "status",

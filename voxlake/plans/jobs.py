@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from voxlake.contracts import CONTRACTS
 from voxlake.functions.columns import as_date
 from voxlake.operators import bronze, forecast, marts, planning, runs, scoring, silver
-from voxlake.session import scratch_path
+from voxlake.session import staged
 from voxlake.sinks.runlogs import collection_run_log, daily_run_log, historical_run_log
 from voxlake.sinks.tables import append, write_contract
 from voxlake.sinks.upsert import merge_rows, upsertable
@@ -108,31 +108,28 @@ def bronze_collection(
     run_id = f"mongo-to-bronze-{at[:19].replace('-', '').replace(':', '')}Z"
     contract = CONTRACTS[DAILY]
     scanned = scan_collection(documents, collection_date, limit)
-    prepared = bronze.documents_to_bronze(scanned, at)
+    prepared = staged(bronze.documents_to_bronze(scanned, at), "collection-rows")
     target = read_if_exists(spark, contract.path(root), fmt, contract.schema if fmt == "parquet" else None)
-    staged_path = scratch_path(spark, "collection-rows")
     fresh, seen = _observed(bronze.missing_from(prepared, target))
-    fresh.write.parquet(staged_path)
-    staged = spark.read.schema(contract.schema).parquet(staged_path)
-    counts = scanned.agg(F.count(F.lit(1)).alias("read")).withColumn(
-        "prepared", prepared.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ).first()
-    out = {
+    read, kept = scanned.count(), prepared.count()
+    if dry_run:
+        new = fresh.count()
+    else:
+        append(fresh, contract.path(root), contract.partition_by, fmt)
+        new = _rows(seen)
+        log = collection_run_log(scanned.sparkSession, read, new, run_id, at, source, dry_run, collection_date, limit, root)
+        write_contract(log, "bronze.daily_ingestion_runs", root, "append", fmt, refuse_empty=False)
+    return {
         "run_id": run_id,
         "dry_run": dry_run,
         "collection_date_filter": collection_date or "all",
         "limit": limit or "none",
-        "documents_read": counts["read"],
-        "documents_prepared": counts["prepared"],
-        "existing_bronze_matches": counts["prepared"] - _rows(seen),
-        "comments_records_to_write": _rows(seen),
-        "comments_records_written": 0 if dry_run else _rows(seen),
+        "documents_read": read,
+        "documents_prepared": kept,
+        "existing_bronze_matches": kept - new,
+        "comments_records_to_write": new,
+        "comments_records_written": 0 if dry_run else new,
     }
-    if not dry_run:
-        append(staged, contract.path(root), contract.partition_by, fmt)
-        log = collection_run_log(scanned, staged, run_id, at, source, dry_run, collection_date, limit, root)
-        write_contract(log, "bronze.daily_ingestion_runs", root, "append", fmt, refuse_empty=False)
-    return out
 
 
 def historical_load(
@@ -304,7 +301,7 @@ def collection_metrics(
     spark: SparkSession, root: str, summaries: DataFrame, errors: DataFrame, fmt: str = DEFAULT_FORMAT
 ) -> dict[str, str]:
     """Query performance, ingestion runs and daily summary appended, then the overview rebuilt."""
-    performance = runs.query_performance(summaries, errors)
+    performance = staged(runs.query_performance(summaries, errors), "query-performance")
     out = {}
     for key, frame in {
         "bronze.ingestion_runs": runs.ingestion_runs(summaries, errors),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import case, errors, rounded, scratch, sql, summaries, view
 from voxlake.operators import descriptive, prescriptive, runs
 from voxlake.plans import jobs
+from voxlake.session import staged
 from voxlake.sinks.tables import write_contract
 from voxlake.sources.tables import read_contract
 
@@ -115,7 +116,8 @@ def _totals(spark, d):
 
 @case("run_overview_join", sql("SELECT * FROM overview", "overview"))
 def _overview(spark, d):
-    return runs.run_overview(collection(spark, d), performance(spark, d))
+    rows = staged(performance(spark, d), "query-performance")
+    return runs.run_overview(runs.collection_daily_summary(rows), rows)
 
 
 # The jobs write one folder per run date; they run on months so that a check does not write thousands of folders.

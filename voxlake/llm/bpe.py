@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlake.llm.common import map_arrow
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker remembers; the two generations together hold twice as many.
 REMEMBERED = 250_000
@@ -262,4 +264,4 @@ def encode(
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return chosen.mapInArrow(run, schema)
+    return map_arrow(chosen, run, schema)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voxlake.session import staged
 
-__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hashed_words", "key128", "mix64", "read_table", "staged", "texts", "words"]
+__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "words"]
 
 #: Texts are worked on in runs of whole rows of about this many bytes, which keeps the arrays small.
 SLICE_BYTES = 1 << 21
@@ -42,6 +43,16 @@ def drop_folder(spark: SparkSession, df: DataFrame) -> None:
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow``, with this library on the path of the Python workers where it is not installed."""
+    context = df.sparkSession.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return df.mapInArrow(function, schema)
+
+
 def texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows: first row, end row, their bytes, and the bounds of each row in these (null: empty)."""
     flat = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import drop_folder, fresh, key128, staged, texts, words
+from voxlake.llm.common import drop_folder, fresh, key128, map_arrow, staged, texts, words
 
 #: Documents that one task ranks at most, on average, whatever their source and size.
 RANKED_PER_TASK = 20_000
@@ -39,7 +39,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, *keep: str) -> Data
                 sizes[at:end] = np.diff(words(raw, bounds)[2])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes)], names=schema.names)
 
-    return chosen.mapInArrow(count, schema)
+    return map_arrow(chosen, count, schema)
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, mixing
+from voxlake.llm import bpe, lines, mixing, rans, simhash
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,14 +20,52 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.dedup_lines(read_table(spark, folder, "documents"), removed_col="lines_removed")
+    return cleaned.select("doc_id", "text", F.col("lines_removed").cast("long").alias("lines_removed"))
+
+
+SQL["op1_line_spread"] = f"""
+WITH rows AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, source, unnest(range(len(parts))) AS place, unnest(parts) AS raw FROM rows),
+bare AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines),
+wide AS (
+  SELECT line FROM bare WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT coalesce('=' || source, '')) >= {lines.MIN_SITES}),
+judged AS (
+  SELECT b.*, w.line IS NOT NULL AND row_number() OVER (PARTITION BY b.line ORDER BY doc_id, place) > 1 AS gone
+  FROM bare b LEFT JOIN wide w ON b.line = w.line),
+kept AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT gone) AS text,
+    count(*) FILTER (WHERE gone) AS lines_removed
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  coalesce(k.lines_removed, 0) AS lines_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
 @query
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.compare_with_edits(read_table(spark, folder, "documents"))
+
+
 @query
 def op7_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     path = public_tokenizers.path(bpe.VOCABULARY)
     return bpe.encode(documents, path, public_tokenizers.PATTERN, with_ids=False)
+
+
+@query
+def op9_rans_files(spark: SparkSession, folder: str) -> DataFrame:
+    return rans.written_and_read(read_table(spark, folder, "documents"), public_tokenizers.path(rans.VOCABULARY))

@@ -11,13 +11,30 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, mixing
-from voxlake.llm.common import read_table, staged
+from voxlake.llm import bpe, langid, lines, mixing
+from voxlake.llm.common import fresh, read_table, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def told(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents whose language is told; the model is fitted to a bounded sample of the labelled ones."""
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Texts without the lines that many sources share, but for the first place of each; ``n_chars`` is counted anew.
+
+    A document that loses all it had goes; it is found whole where its lines occur first.
+    """
+    count = fresh(docs, "lines_removed")
+    cleaned = lines.dedup_lines(docs, removed_col=count)
+    cleaned = cleaned.where((F.col(count) == 0) | F.col("text").rlike(r"\S")).drop(count)
+    return cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast("long"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix takes them; every source comes near its share of all words."""
     return mixing.resample(docs)
@@ -29,6 +46,8 @@ def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", told),
+    ("line dedup", without_boilerplate),
     ("mixing sources", mixed),
     ("byte-level BPE", encoded),
 ]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, lines, mixing, rans, simhash
+from voxlake.llm import bpe, langid, lines, mixing, rans, simhash
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,12 @@ def op7_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(documents, path, public_tokenizers.PATTERN, with_ids=False)
 
 
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    return langid.identify(documents, langid.fit(documents))
+
+
 @query
 def op9_rans_files(spark: SparkSession, folder: str) -> DataFrame:
     return rans.written_and_read(read_table(spark, folder, "documents"), public_tokenizers.path(rans.VOCABULARY))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voxlake.session import staged
 
-__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "words"]
+__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hash_share", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "words"]
 
 #: Texts are worked on in runs of whole rows of about this many bytes, which keeps the arrays small.
 SLICE_BYTES = 1 << 21
@@ -125,6 +125,13 @@ def hashed_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
+def hash_share(share: float, *columns: Column) -> Column:
+    """True for about this share of all values of the columns, the same ones in every run."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.lit(0xD1CE), *columns) < F.lit(int((share - 0.5) * (1 << 64)))
+
+
 def key128(*columns: Column) -> list[Column]:
     """Two independent 64-bit hashes; together a key whose chance collisions can be neglected at 10^13 rows."""
     return [F.xxhash64(*columns), F.xxhash64(F.lit(0x5EED), *columns)]

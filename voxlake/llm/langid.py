@@ -22,16 +22,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import map_arrow, texts
+from voxlake.llm.common import hash_share, map_arrow, texts
 
 #: Bucket numbers fit into 16 bits.
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
 DIMENSIONS = 16
-#: Rows that a model is fitted to, at most: so many of a language, and so many of all.
+#: Rows that a model is fitted to, on average at most: so many of a language, and so many of all.
 SAMPLE_PER_LANGUAGE = 1000
 SAMPLE_ROWS = 16_000
 #: Languages that a model tells apart, at most: the most frequent labels.
@@ -121,17 +120,16 @@ def held_out(id_col: Column) -> Column:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``label, calibrate, buckets, counts`` of the labelled rows with the least hashes of each language, so the same in every run."""
+    """``label, calibrate, buckets, counts`` of labelled rows: of each language a share by a hash of their ids, the same in every run."""
     rows = docs.where(learnable(F.col(id_col)) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text")
     )
-    frequent = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).select("label")
-    each = min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // max(1, frequent.count()))
-    order = W.partitionBy("label").orderBy(F.xxhash64("doc"), "doc")
-    drawn = rows.select("doc", "label").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= each)
-    drawn = drawn.join(F.broadcast(frequent), "label", "left_semi").select("doc", "label").distinct()
-    # At most SAMPLE_ROWS ids, so small enough to send to every task.
-    texts_of = rows.join(F.broadcast(drawn), ["doc", "label"], "left_semi").dropDuplicates(["doc", "label"])
+    frequent = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
+    each = min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // max(1, len(frequent)))
+    drawn = F.lit(False)
+    for row in frequent:
+        drawn = F.when(F.col("label") == row["label"], hash_share(each / row["count"], F.col("doc"))).otherwise(drawn)
+    texts_of = rows.where(drawn).dropDuplicates(["doc", "label"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

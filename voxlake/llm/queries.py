@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, langid, lines, mixing, rans, simhash
+from voxlake.llm import bpe, langid, lines, mixing, rans, secret_scan, simhash, url_rules
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,16 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+SITES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    mined = url_rules.mine(url_rules.labelled_urls(pages, read_table(spark, folder, "labels")))
+    return url_rules.judge(pages, mined, SITES).select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 @query
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, folder, "documents"))
@@ -75,3 +85,9 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_rans_files(spark: SparkSession, folder: str) -> DataFrame:
     return rans.written_and_read(read_table(spark, folder, "documents"), public_tokenizers.path(rans.VOCABULARY))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    return secret_scan.scan(documents, secret_scan.fit(documents))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, langid, lines, mixing, rans, secret_scan, simhash, url_rules
+from voxlake.llm import ann, bpe, langid, lines, mixing, rans, secret_scan, simhash, url_rules
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+@query
+def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 SITES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 

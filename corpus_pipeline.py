@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import bpe, langid, lines, mixing
+from voxlake.llm import bpe, langid, lines, mixing, near_dups
 from voxlake.llm.common import fresh, read_table, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,6 +35,11 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> Da
     return cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast("long"))
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each class of near copies: the one with the smallest id."""
+    return near_dups.drop_near_duplicates(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix takes them; every source comes near its share of all words."""
     return mixing.resample(docs)
@@ -48,6 +53,7 @@ def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("language ID", told),
     ("line dedup", without_boilerplate),
+    ("near-dedup", without_near_copies),
     ("mixing sources", mixed),
     ("byte-level BPE", encoded),
 ]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import ann, bpe, langid, lines, mixing, rans, secret_scan, simhash, url_rules
+from voxlake.llm import ann, bpe, langid, lines, mixing, near_dups, rans, secret_scan, simhash, url_rules
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.compare_with_edits(read_table(spark, folder, "documents"))
 
 
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.classes(read_table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
 @query
 def op7_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")

@@ -138,6 +138,8 @@ def decode_part(payload: bytes, table: Table, part: int) -> np.ndarray:
         x[short] = (x[short] << np.uint64(32)) | words[place : place + len(short)]
         place += len(short)
         states[:count] = x
+    if part == marks and not (states == _LOW).all():
+        raise ValueError("a block does not end in the state that coding began with")
     return out
 
 

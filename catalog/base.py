@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.session import scratch_path, spread_small
+from voxlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +39,8 @@ def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table; the files of the small scales have one row group, so small scans are spread."""
-    return spread_small(spark.read.parquet(f"{folder}/{name}.parquet"))
+    """A driver table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -124,8 +124,8 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def summaries(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd") -> DataFrame:
-    """One row per query of a run; a run is a day of orders, or a month with ``yyyy-MM-01``."""
+def summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per query of a run; a run is a day of orders."""
     o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
     lines = (
         table(spark, folder, "lineitem")
@@ -135,7 +135,7 @@ def summaries(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd")
             F.count_if(F.col("l_returnflag") != "R").alias("comments_count"),
         )
     )
-    day = F.date_format("o_orderdate", day_format)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     joined = o.join(c, o["o_custkey"] == c["c_custkey"]).join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return joined.select(
         F.concat(F.lit("daily-"), day).alias("run_id"),
@@ -152,12 +152,12 @@ def summaries(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd")
     )
 
 
-def errors(spark: SparkSession, folder: str, day_format: str = "yyyy-MM-dd") -> DataFrame:
+def errors(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders")
     returned = table(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R")
     joined = returned.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.concat(F.lit("daily-"), F.date_format("o_orderdate", day_format)).alias("run_id"),
+        F.concat(F.lit("daily-"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("run_id"),
         F.concat(F.lit("q"), F.col("o_custkey")).alias("query_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"),
         F.concat(F.lit("part "), F.col("l_partkey"), F.lit(" returned")).alias("error"),

@@ -82,7 +82,7 @@ def _resolved(spark, d):
 
 @case("alias_resolution_by_join", sql(_RESOLVED, "matched"))
 def _resolved_join(spark, d):
-    out = planning.resolve_aliases(_partly_tagged(spark, d), ALIASES, inline_limit=0)
+    out = planning.resolve_aliases(_partly_tagged(spark, d), ALIASES)
     return out.select("query_id", "resolved_topic", "resolved_genre")
 
 
@@ -116,39 +116,52 @@ def _typed(spark, d):
 
 view(
     "plan_walk",
-    f"""SELECT platform, query_id, rn, expected_units, expected_units <= {BUDGET} AS taken,
+    f"""SELECT platform, spelled, query_id, rn, expected_units, expected_units <= {BUDGET} AS taken,
     CASE WHEN expected_units <= {BUDGET} THEN expected_units ELSE 0 END AS used FROM plan_rows WHERE rn = 1
   UNION ALL
-  SELECT o.platform, o.query_id, o.rn, o.expected_units, w.used + o.expected_units <= {BUDGET},
+  SELECT o.platform, o.spelled, o.query_id, o.rn, o.expected_units, w.used + o.expected_units <= {BUDGET},
     CASE WHEN w.used + o.expected_units <= {BUDGET} THEN w.used + o.expected_units ELSE w.used END
   FROM plan_walk w JOIN plan_rows o ON o.platform = w.platform AND o.rn = w.rn + 1""",
     view(
         "plan_rows",
-        """SELECT *, row_number() OVER (PARTITION BY platform ORDER BY priority DESC, expected_units, query_id) AS rn
-  FROM reg""",
+        """SELECT *, lower(spelled) AS platform,
+    row_number() OVER (PARTITION BY lower(spelled) ORDER BY priority DESC, expected_units, query_id) AS rn FROM (
+    SELECT priority, expected_units, CASE n % 3 WHEN 0 THEN upper(platform) ELSE platform END AS spelled,
+      'q' || (n // 2) AS query_id FROM (SELECT *, CAST(substr(query_id, 2) AS BIGINT) AS n FROM reg))""",
         "reg",
     ),
 )
 _STATUS = "CASE WHEN taken THEN 'selected' ELSE 'deferred_budget_limit' END"
 
 
+def _spelled_registry(spark, d):
+    """Platforms in several spellings, and ids that two rows share."""
+    n = F.substring("query_id", 2, 20).cast("bigint")
+    return registry(spark, d).withColumns(
+        {
+            "platform": F.when(n % 3 == 0, F.upper("platform")).otherwise(F.col("platform")),
+            "query_id": F.concat(F.lit("q"), F.floor(n / 2).cast("string")),
+        }
+    )
+
+
 @case(
     "budget_plan",
     sql(
-        f"SELECT platform, query_id, expected_units, {_STATUS} AS status FROM plan_walk",
+        f"SELECT spelled AS platform, query_id, expected_units, {_STATUS} AS status FROM plan_walk",
         "plan_walk",
         recursive=True,
     ),
 )
 def _plan(spark, d):
-    plan = planning.plan_within_budget(registry(spark, d), BUDGET)
+    plan = planning.plan_within_budget(_spelled_registry(spark, d), BUDGET)
     return plan.select("platform", "query_id", "expected_units", "status")
 
 
 @case(
     "budget_summary",
     sql(
-        f"""SELECT platform, count(*) AS total_queries_available, count(*) FILTER (taken) AS total_queries_selected,
+        f"""SELECT min(spelled) AS platform, count(*) AS total_queries_available, count(*) FILTER (taken) AS total_queries_selected,
     count(*) FILTER (NOT taken) AS total_queries_deferred,
     CAST(sum(expected_units) FILTER (taken) AS BIGINT) AS total_budget_used,
     CAST({BUDGET} AS BIGINT) AS total_budget_available,
@@ -159,7 +172,7 @@ def _plan(spark, d):
     ),
 )
 def _budget(spark, d):
-    return planning.plan_summary(planning.plan_within_budget(registry(spark, d), BUDGET), BUDGET)
+    return planning.plan_summary(planning.plan_within_budget(_spelled_registry(spark, d), BUDGET), BUDGET)
 
 
 @case(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog.base import case, errors, rounded, scratch, sql, summaries, view
 from voxlake.operators import descriptive, prescriptive, runs
 from voxlake.plans import jobs
-from voxlake.session import staged
 from voxlake.sinks.tables import write_contract
 from voxlake.sources.tables import read_contract
 
@@ -116,26 +115,21 @@ def _totals(spark, d):
 
 @case("run_overview_join", sql("SELECT * FROM overview", "overview"))
 def _overview(spark, d):
-    rows = staged(performance(spark, d), "query-performance")
+    rows = performance(spark, d)
     return runs.run_overview(runs.collection_daily_summary(rows), rows)
 
 
-# The jobs write one folder per run date; they run on months so that a check does not write thousands of folders.
-MONTH = "yyyy-MM-01"
-_MONTHLY = sql("SELECT * FROM overview", "overview").replace("%Y-%m-%d", "%Y-%m-01")
-
-
-@case("collection_metrics_job", _MONTHLY)
+@case("collection_metrics_job", sql("SELECT * FROM overview", "overview"))
 def _metrics_job(spark, d):
     root = scratch(spark, "lakehouse")
-    jobs.collection_metrics(spark, root, summaries(spark, d, MONTH), errors(spark, d, MONTH))
+    jobs.collection_metrics(spark, root, summaries(spark, d), errors(spark, d))
     return read_contract(spark, root, "gold.dashboard_overview_daily")
 
 
-@case("run_overview_job", _MONTHLY)
+@case("run_overview_job", sql("SELECT * FROM overview", "overview"))
 def _overview_job(spark, d):
     root = scratch(spark, "lakehouse")
-    rows = runs.query_performance(summaries(spark, d, MONTH), errors(spark, d, MONTH))
+    rows = runs.query_performance(summaries(spark, d), errors(spark, d))
     write_contract(rows, "gold.query_performance_summary", root)
     write_contract(runs.collection_daily_summary(rows), "gold.collection_daily_summary", root)
     jobs.overview_gold(spark, root)

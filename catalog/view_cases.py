@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import RATIOS, case, comments, display_sql, engagement, errors, rounded, sql, summaries, view
 from catalog.forecast_cases import daily, forecasts
 from catalog.mart_cases import scored_table, words_sql
-from catalog.run_cases import MONTH, collection, performance
+from catalog.run_cases import collection, performance
 from voxlake.functions.text import DRIVER_STOP_WORDS
 from voxlake.operators import descriptive, diagnostic, filters, marts, prescriptive, runs
 from voxlake.plans import jobs
@@ -795,29 +795,40 @@ def _absent(spark, d):
     return counts.union(gone.withColumn("rows", F.lit(0).cast("bigint")))
 
 
+# Label column and SQL view of each mart of the bundle; without a label its rows are counted.
+_BUNDLED = {
+    "overview": ("run_date_label", "run_date", "overview"),
+    "collection": ("run_date_label", "run_date", "cds"),
+    "query": ("run_date_label", "run_date", "perf"),
+    "sentiment_daily_summary": ("collection_date_label", "collection_date", "daily_summary"),
+    "sentiment_video_summary": ("collection_date_label", "collection_date", "video_summary"),
+    "sentiment_topic_summary": ("genre", "genre", "topic_summary"),
+    "sentiment_daily_trend": ("collection_date_label", "collection_date", "daily_trend"),
+    "sentiment_weekday_hour_engagement": ("collection_date_label", "collection_date", "weekday_hour"),
+    "sentiment_overview_kpis": ("collection_date_label", "collection_date", "overview_kpis"),
+    "comments": ("weekday_name", "strftime(comment_published_at, '%A')", "eng"),
+    "sentiment_comments": ("weekday_name", "strftime(comment_published_at, '%A')", "eng"),
+}
+
+
 @case(
     "mart_bundle",
     sql(
-        """SELECT 'sentiment_daily_summary' AS mart, collection_date AS label, count(*) AS rows FROM daily_summary GROUP BY 2
-  UNION ALL SELECT 'collection', run_date, count(*) FROM cds GROUP BY 2
-  UNION ALL SELECT 'comments', strftime(comment_published_at, '%A'), count(*) FROM eng GROUP BY 2""",
-        "daily_summary",
-        "cds",
-    ).replace("%Y-%m-%d') AS day", "%Y-%m-01') AS day").replace("o_orderdate, '%Y-%m-%d')", "o_orderdate, '%Y-%m-01')"),
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS mart, {label} AS label, count(*) AS rows FROM {v} GROUP BY 2"
+            for name, (_, label, v) in _BUNDLED.items()
+        ),
+        *dict.fromkeys(v for _, _, v in _BUNDLED.values()),
+    ),
 )
 def _bundle(spark, d):
     root = scored_table(spark, d)
     jobs.sentiment_gold(spark, root)
-    rows = runs.query_performance(summaries(spark, d, MONTH), errors(spark, d, MONTH))
-    write_contract(runs.collection_daily_summary(rows), "gold.collection_daily_summary", root)
+    jobs.descriptive_gold(spark, root)
+    jobs.collection_metrics(spark, root, summaries(spark, d), errors(spark, d))
     bundle = load_marts(spark, root)
-    parts = {
-        "sentiment_daily_summary": "collection_date_label",
-        "collection": "run_date_label",
-        "comments": "weekday_name",
-    }
     out = None
-    for name, label in parts.items():
+    for name, (label, _, _) in _BUNDLED.items():
         part = bundle[name].groupBy(F.lit(name).alias("mart"), F.col(label).alias("label")).agg(
             F.count(F.lit(1)).alias("rows")
         )

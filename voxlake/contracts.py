@@ -90,15 +90,15 @@ CONTRACTS = _contracts(
         "reply_count bigint, published_at, fetched_at, language_target, detected_language_label, "
         "detected_language_code",
     ),
-    TableContract("bronze", "youtube_comments_daily_raw", ("collection_date", "topic", "genre"), _BRONZE_COMMENT),
+    TableContract("bronze", "youtube_comments_daily_raw", ("collection_date",), _BRONZE_COMMENT),
     TableContract(
-        "bronze", "youtube_comments_kafka_raw", ("collection_date", "topic", "load_id"), _STREAM_COMMENT
+        "bronze", "youtube_comments_kafka_raw", ("collection_date", "load_id"), _STREAM_COMMENT
     ),
     TableContract("bronze", "daily_ingestion_runs", ("collection_date", "ingestion_type"), _RUN_LOG),
     TableContract(
         "bronze",
         "kafka_ingestion_runs",
-        ("collection_date", "load_id"),
+        ("load_id",),
         "run_id, load_id, batch_id bigint, collection_date, executed_at, topic, ingestion_type, messages_consumed bigint, "
         "records_written bigint, target_comments_table, target_runs_table, error_count bigint, status",
     ),
@@ -129,21 +129,21 @@ CONTRACTS = _contracts(
     TableContract(
         "gold",
         "collection_daily_summary",
-        ("run_date",),
+        (),
         "run_date, source_name, ingestion_mode, topic, genre, queries_executed bigint, total_videos_fetched bigint, "
         "total_records_fetched bigint, total_records_written bigint, total_error_count bigint, created_at",
     ),
     TableContract(
         "gold",
         "query_performance_summary",
-        ("run_date",),
+        (),
         "run_date, run_id, query_id, query_text, topic, genre, expected_units bigint, videos_fetched bigint, "
         "records_fetched bigint, records_written bigint, error_count bigint, collection_status, created_at",
     ),
     TableContract(
         "gold",
         "dashboard_overview_daily",
-        ("run_date",),
+        (),
         "run_date, source_name, ingestion_mode, topics_covered bigint, genres_covered bigint, "
         "queries_executed bigint, successful_queries bigint, partial_success_queries bigint, "
         "failed_queries bigint, no_data_queries bigint, unique_queries_seen bigint, total_videos_fetched bigint, "

@@ -21,7 +21,7 @@ from voxlake.functions.columns import (
     text_of,
     watch_url,
 )
-from voxlake.operators.silver import keep_last
+from voxlake.operators.silver import newest_per_key
 from voxlake.sinks.runlogs import HISTORICAL
 from voxlake.sinks.upsert import DOCUMENT_KEY, key_columns
 
@@ -126,7 +126,10 @@ def _comment_columns(df: DataFrame, *likes: str) -> list[Column]:
 
 
 def documents_to_bronze(documents: DataFrame, loaded_at: str) -> DataFrame:
-    """Stored documents as bronze rows, the last of each four-part key."""
+    """Stored documents as bronze rows, the newest of each four-part key.
+
+    Newest by collection date, then by update and load time; documents equal in these differ by their raw copy.
+    """
     if "_id" in documents.columns:
         documents = documents.drop("_id")
     whole = F.to_json(F.struct(*sorted(documents.columns)))
@@ -147,8 +150,11 @@ def documents_to_bronze(documents: DataFrame, loaded_at: str) -> DataFrame:
         _text(df, "comment_id"),
         _text(df, "author_display_name"),
         F.col("_raw").alias("raw_record_json"),
+        col_or_null(df, "mongo_loaded_at").cast("string").alias("_loaded"),
     )
-    return keep_last(_contract_order(rows, "bronze.youtube_comments_daily_raw"), DOCUMENT_KEY)
+    times = ("collection_date", "comment_updated_at", "_loaded", "raw_record_json")
+    newest = newest_per_key(rows, DOCUMENT_KEY, [F.col(name).desc_nulls_last() for name in times])
+    return _contract_order(newest, "bronze.youtube_comments_daily_raw")
 
 
 def missing_from(rows: DataFrame, target: DataFrame | None, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:

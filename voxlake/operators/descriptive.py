@@ -142,9 +142,17 @@ def video_engagement(comments: DataFrame) -> DataFrame:
 def video_evidence(comments: DataFrame, videos: DataFrame) -> DataFrame:
     """Video mart rows with the comment aggregates of the same video; mart values win, gaps are filled.
 
-    A video whose comments fall into several groups gives one row per group, as the mart's reader expects.
+    A video whose comments fall into several groups gives one row per group, as the mart's reader expects. Where the
+    mart is empty, the comment groups themselves are the rows.
     """
     found = video_engagement(comments)
+    if videos.isEmpty():
+        videos = found.withColumn("comments_count", F.col("matched_comments"))
+        scores = [F.lit(0.0).alias(name) for name in ("avg_sentiment_score", "positive_ratio", "negative_ratio")]
+        filled = videos.select("*", *scores)
+        missing = {"video_title": "Unknown Video", "channel_title": "Unknown Channel", "topic": "unknown", "genre": "unknown"}
+        filled = filled.withColumns({n: F.lit(v) for n, v in missing.items() if n not in filled.columns})
+        return _video_display(filled)
     key = "video_id" if "video_id" in videos.columns and "video_id" in found.columns else "video_title"
     side = found.select([F.col(c).alias(f"c_{c}") for c in found.columns])
     joined = videos.join(side, F.col(key) == F.col(f"c_{key}"), "left")
@@ -165,7 +173,11 @@ def video_evidence(comments: DataFrame, videos: DataFrame) -> DataFrame:
         if name in videos.columns:
             out[name] = double_or_zero(videos, name)
     merged = joined.withColumns(out).drop(*side.columns)
-    return merged.withColumns(
+    return _video_display(merged)
+
+
+def _video_display(videos: DataFrame) -> DataFrame:
+    return videos.withColumns(
         {
             "video_title_short": truncate_text(F.col("video_title"), 38),
             "topic_display": display_text(F.col("topic")),
@@ -261,14 +273,14 @@ def header_kpis(comments: DataFrame, topics: DataFrame | None = None) -> DataFra
         F.avg(F.when(F.col("sentiment_label") == name, 1.0).otherwise(0.0)), F.lit(0.0)
     )
     from_comments = comments.agg(
-        F.count_distinct("comment_id").alias("total_comments"),
         F.coalesce(F.avg("sentiment_score"), F.lit(0.0)).alias("avg_sentiment"),
         label("positive").alias("positive_ratio"),
         label("negative").alias("negative_ratio"),
-        F.count_distinct("topic").alias("topics_covered"),
-        F.count_distinct("genre").alias("genres_covered"),
-        F.count_distinct("video_id").alias("videos_covered"),
     )
+    # A scalar each: several distinct counts in one aggregate would copy every row once per count.
+    counted = {"total_comments": "comment_id", "topics_covered": "topic", "genres_covered": "genre", "videos_covered": "video_id"}
+    for name, column in counted.items():
+        from_comments = from_comments.withColumn(name, comments.agg(F.count_distinct(column)).scalar())
     if topics is None:
         return from_comments
     zero = lambda column: F.coalesce(column, F.lit(0))
@@ -277,10 +289,10 @@ def header_kpis(comments: DataFrame, topics: DataFrame | None = None) -> DataFra
         zero(F.avg("avg_sentiment_score")).cast("double").alias("avg_sentiment"),
         zero(F.avg("positive_ratio")).cast("double").alias("positive_ratio"),
         zero(F.avg("negative_ratio")).cast("double").alias("negative_ratio"),
-        F.count_distinct("topic").alias("topics_covered"),
-        F.count_distinct("genre").alias("genres_covered"),
         zero(F.sum("videos_covered")).cast("bigint").alias("videos_covered"),
     )
+    for name in ("topic", "genre"):
+        from_mart = from_mart.withColumn(f"{name}s_covered", topics.agg(F.count_distinct(name)).scalar())
     names = from_comments.columns
     both = from_comments.withColumn("_mart", from_mart.select(F.struct(*names).alias("m")).scalar())
     empty = F.col("total_comments") == 0

@@ -149,14 +149,14 @@ def comment_drivers(
     """Driver words of one sign from comment texts; topic and genre are those of the first comment id."""
     signed = _signed(comments, positive, "sentiment_score")
     columns = ["comment_id", "topic", "genre", "sentiment_score", "comment_text"]
-    flagged, repeats = flag_repeats(signed.select(*columns), [])
+    flagged = flag_repeats(signed.select(*columns), [])
     words = comment_keywords(flagged, [*columns[:4], "_again"], stop_words)
     text = lambda name: F.coalesce(F.col(name), F.lit("unknown"))
     first = F.min_by(F.struct(text("topic").alias("topic"), text("genre").alias("genre")),
                      F.struct("comment_id", text("topic"), text("genre")))
     out = words.groupBy("keyword").agg(
         F.count(F.lit(1)).alias("keyword_count"),
-        distinct_comments(repeats).alias("distinct_comments"),
+        distinct_comments(False).alias("distinct_comments"),
         F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment_score"),
         first.alias("_first"),
     )
@@ -252,20 +252,49 @@ def like_distribution(comments: DataFrame) -> DataFrame:
     return df.filter(F.col("sentiment_label").isin("positive", "neutral", "negative"))
 
 
+_QUARTILES = (0.25, 0.5, 0.75)
+#: Like counts are dealt out by their logarithm, so that no task holds all values of a label.
+_RANGES = 32
+
+
 def like_box(distribution: DataFrame) -> DataFrame:
-    """Box statistics of likes per label.
+    """Box statistics of likes per label, with quartiles between the two nearest values.
 
-    Likes are counted per value first, so the exact quartiles work on value counts, not on all comments.
+    Likes are counted per value, the counts are added up in value order within ranges of values and the sums of the
+    ranges before are added, so each quartile is the value at which the running count passes its place.
     """
+    value = F.col("resolved_like_count")
     counts = distribution.groupBy("sentiment_label", "resolved_like_count").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = F.percentile("resolved_like_count", [0.25, 0.5, 0.75], F.col("n"))
-    stats = counts.groupBy("sentiment_label").agg(
+    ranged = counts.withColumn("_range", F.least(F.lit(_RANGES), F.floor(F.log2(F.greatest(value, F.lit(0)) + 1))))
+    sums = ranged.groupBy("sentiment_label", "_range").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy("sentiment_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col("sentiment_label").alias("_label"),
+        F.col("_range").alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy("sentiment_label")).alias("_all"),
+    )
+    inside = Window.partitionBy("sentiment_label", "_range").orderBy(value)
+    placed = ranged.withColumn("_run", F.sum("n").over(inside)).join(
+        sums, (F.col("sentiment_label") == F.col("_label")) & (F.col("_range") == F.col("_of"))
+    )
+    run = F.col("_before") + F.col("_run")
+
+    def at(place: Column) -> Column:
+        """The value that holds a place, counted from 0."""
+        return F.min(F.when(run > place, value))
+
+    found = []
+    for i, share in enumerate(_QUARTILES):
+        place = share * (F.col("_all") - 1)
+        found += [at(F.floor(place)).alias(f"_l{i}"), at(F.ceil(place)).alias(f"_h{i}"), F.max(place - F.floor(place)).alias(f"_f{i}")]
+    stats = placed.groupBy("sentiment_label").agg(
         F.sum("n").alias("comments_count"),
         F.min("resolved_like_count").alias("min_likes"),
         F.max("resolved_like_count").alias("max_likes"),
-        quartiles.alias("_q"),
+        *found,
     )
-    q = [F.element_at("_q", i) for i in (1, 2, 3)]
+    q = [F.col(f"_l{i}") + F.col(f"_f{i}") * (F.col(f"_h{i}") - F.col(f"_l{i}")) for i in range(3)]
     spread = q[2] - q[0]
     box = stats.select(
         "sentiment_label",

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from voxlake.functions.columns import as_date, as_timestamp, col_or_null, double_or_zero, first_present, int_or_zero
 from voxlake.functions.numeric import ratio
 from voxlake.functions.text import MART_STOP_WORDS, is_keyword, word_runs
-from voxlake.session import broadcast_if_small, staged
 
 _TEXT = (
     "platform query_id query_text topic genre video_id video_title channel_title comment_id comment_text "
@@ -92,6 +91,19 @@ def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> D
     )
 
 
+def with_distincts(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column], distinct: dict[str, str]) -> DataFrame:
+    """Group by keys that are not null; ``distinct`` maps result names to columns whose values are counted.
+
+    One aggregate with several distinct counts would copy every row once per count. Each count has an aggregate of its
+    own instead, over its one column, and the results, one row per group, are joined by the keys.
+    """
+    out = df.groupBy(*keys).agg(*metrics)
+    for alias, name in distinct.items():
+        side = df.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys]).agg(F.count_distinct(name).alias(alias))
+        out = out.join(side, [F.col(k) == F.col(f"k_{k}") for k in keys]).drop(*[f"k_{k}" for k in keys])
+    return out
+
+
 def _mart(
     df: DataFrame,
     keys: Sequence[str],
@@ -110,6 +122,8 @@ def _mart(
         keyed = keyed.filter(F.col(key).isNotNull())
     if unique_ids and len(counted) > 1:
         out = _two_step(keyed, keys, counted)
+    elif counted and not unique_ids:
+        out = with_distincts(keyed, keys, metric_columns(), counted)
     else:
         extra = [F.count_distinct(name).alias(alias) for alias, name in counted.items()]
         out = keyed.groupBy(*keys).agg(*extra, *metric_columns(unique_ids))
@@ -159,26 +173,23 @@ def comment_keywords(df: DataFrame, columns: Sequence[str | Column], stop_words:
     return df.select(*columns, words).filter(is_keyword(F.col("keyword"), stop_words))
 
 
-def flag_repeats(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, bool]:
-    """``_again``: whether the row's comment id occurs more than once in its group, and whether any does.
+def flag_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_again``: whether the row's comment id occurs more than once in its group.
 
-    Found by one aggregate over the ids alone. It lets keyword counts add up per keyword before the shuffle, because
-    only repeated ids still have to be told apart per keyword; with distinct ids (the usual case) none do.
+    Found by one aggregate over the ids alone, in the same plan. It lets keyword counts add up per keyword before the
+    shuffle, because only repeated ids still have to be told apart per keyword; with distinct ids (the usual case) the
+    joined side is empty.
     """
-    repeated = df.groupBy(*keys, "comment_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = staged(repeated, "repeated-ids")
-    rows = found.count()
-    if rows == 0:
-        return df.withColumn("_again", F.lit(False)), False
     names = [*keys, "comment_id"]
-    side = broadcast_if_small(found.select([F.col(n).alias(f"r_{n}") for n in names]), rows)
+    repeated = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    side = repeated.select([F.col(n).alias(f"r_{n}") for n in names])
     joined = df.join(side, [F.col(n).eqNullSafe(F.col(f"r_{n}")) for n in names], "left")
-    return joined.withColumn("_again", F.col("r_comment_id").isNotNull()).drop(*side.columns), True
+    return joined.withColumn("_again", F.col("r_comment_id").isNotNull()).drop(*side.columns)
 
 
-def distinct_comments(repeats: bool) -> Column:
+def distinct_comments(unique_ids: bool) -> Column:
     """Aggregate over flagged keyword rows: distinct comment ids, of which only repeated ones need a distinct."""
-    if not repeats:
+    if unique_ids:
         return F.count(F.lit(1))
     once = F.count_if(~F.col("_again"))
     return once + F.count_distinct(F.when(F.col("_again"), F.col("comment_id")))
@@ -199,11 +210,11 @@ def keyword_frequency(
     keys = ["collection_date", "topic", "genre"]
     columns = [*keys, "comment_id", "sentiment_score", "comment_text"]
     df = prepare_scored(scored).withColumn("comment_id", F.coalesce("comment_id", F.lit("<NA>"))).select(*columns)
-    flagged, repeats = (df.withColumn("_again", F.lit(False)), False) if unique_ids else flag_repeats(df, keys)
+    flagged = df.withColumn("_again", F.lit(False)) if unique_ids else flag_repeats(df, keys)
     words = comment_keywords(flagged, [*keys, "comment_id", "_again", "sentiment_score"], stop_words)
     counted = words.groupBy(*keys, "keyword").agg(
         F.count(F.lit(1)).alias("keyword_count"),
-        distinct_comments(repeats).alias("distinct_comments"),
+        distinct_comments(unique_ids).alias("distinct_comments"),
         F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment_score"),
     )
     window = Window.partitionBy(*keys).orderBy(F.col("keyword_count").desc(), F.col("keyword"))
@@ -239,17 +250,18 @@ def daily_topic_metrics(scored: DataFrame, unique_ids: bool = False, built_at: C
         int_or_zero(scored, "comment_like_count").alias("likes"),
         int_or_zero(scored, "reply_count").alias("replies"),
     ).filter(F.col("metric_date").isNotNull())
-    out = df.groupBy("metric_date", "topic", "genre").agg(
-        _distinct("comment_id", unique_ids).alias("comment_count"),
-        F.count_distinct("video_id").alias("distinct_videos"),
-        F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment_score"),
-        *[_label_count(name) for name in ("positive", "neutral", "negative")],
-        F.round(F.avg("confidence"), 4).alias("avg_sentiment_confidence"),
-        *[F.round(F.avg(cls), 4).alias(f"avg_{cls}_probability") for cls in ("negative", "neutral", "positive")],
-        F.sum("likes").alias("total_like_count"),
-        F.sum("replies").alias("total_reply_count"),
-        F.round(F.avg("likes"), 4).alias("avg_like_count"),
-    )
+    mean = {"sentiment_score": "avg_sentiment_score", "confidence": "avg_sentiment_confidence", "likes": "avg_like_count"}
+    mean |= {cls: f"avg_{cls}_probability" for cls in ("negative", "neutral", "positive")}
+    total = {"likes": "total_like_count", "replies": "total_reply_count"}
+    measures = [_distinct("comment_id", unique_ids).alias("comment_count")]
+    measures += [_label_count(name) for name in ("positive", "neutral", "negative")]
+    measures += [F.round(F.avg(name), 4).alias(alias) for name, alias in mean.items()]
+    measures += [F.sum(name).alias(alias) for name, alias in total.items()]
+    keys, videos = ["metric_date", "topic", "genre"], {"distinct_videos": "video_id"}
+    if unique_ids:
+        out = df.groupBy(*keys).agg(*measures, F.count_distinct("video_id").alias("distinct_videos"))
+    else:
+        out = with_distincts(df, keys, measures, videos)
     return out if built_at is None else out.withColumn("built_at", built_at)
 
 

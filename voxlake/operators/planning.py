@@ -62,62 +62,77 @@ def active_queries(registry: DataFrame, platform: str = "youtube") -> DataFrame:
     return registry.filter(F.col("active") & (F.lower("platform") == platform.lower()))
 
 
-_SALTS = 64
-
-
 def plan_within_budget(registry: DataFrame, total_budget: int = TOTAL_BUDGET) -> DataFrame:
-    """Greedy choice per platform: by priority, then cheaper first, then id; what no longer fits is skipped and
-    later cheaper rows may still be taken.
+    """Greedy choice per platform (in any letter case): by priority, then cheaper first, then id; what no longer fits is
+    skipped and later cheaper rows may still be taken. Rows whose cost is missing or not positive have no place in a
+    plan: they get the status ``invalid_expected_units`` and use no budget.
 
     The choice itself is sequential, but only few rows can take part in it: rows of equal cost u are taken in
     order until one does not fit and none after it does, so at most budget/u rows of each cost matter. Those are
     at most about budget * ln(budget) rows per platform whatever the registry's size; they are found in two
-    ranking steps (the first over salted groups, so one cost with a third of all rows is ranked in many tasks)
-    and only they are folded. Costs have to be positive (see ``validated``).
+    ranking steps (the first within input partitions, so one cost with a third of all rows is ranked in as many tasks as
+    it is read by) and only they are folded. Rows that agree in platform, cost, priority and id are interchangeable:
+    the fold says how many of them are taken, and a rank among them which.
     """
     order = [F.col("priority").desc(), F.col("expected_units"), F.col("query_id")]
     fits = F.col("_n") * F.col("expected_units") <= total_budget
-    rows = registry.select("platform", "query_id", "priority", "expected_units").filter(
-        (F.col("expected_units") > 0) & (F.col("expected_units") <= total_budget)
+    keyed = registry.withColumn("_platform", F.lower("platform"))
+    valid = (F.col("expected_units") > 0) & F.col("expected_units").isNotNull()
+    ranked = keyed.select("_platform", "query_id", "priority", "expected_units", F.spark_partition_id().alias("_part")).filter(
+        valid & (F.col("expected_units") <= total_budget)
     )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("query_id"), F.lit(_SALTS)))
-    for groups in (["platform", "expected_units", "_salt"], ["platform", "expected_units"]):
+    for groups in (["_platform", "expected_units", "_part"], ["_platform", "expected_units"]):
         window = Window.partitionBy(*groups).orderBy(*order)
-        salted = salted.withColumn("_n", F.row_number().over(window)).filter(fits)
-    candidates = salted.groupBy("platform").agg(
+        ranked = ranked.withColumn("_n", F.row_number().over(window)).filter(fits)
+    candidates = ranked.groupBy("_platform").agg(
         F.array_sort(
             F.collect_list(
                 F.struct((-F.col("priority")).alias("p"), F.col("expected_units").alias("u"), F.col("query_id").alias("q"))
             )
         ).alias("c")
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("used"), F.array().cast("array<string>").alias("taken"))
+    item = candidates.schema["c"].dataType.elementType.simpleString()
+    start = F.struct(F.lit(0).cast("bigint").alias("used"), F.array().cast(f"array<{item}>").alias("taken"))
 
     def step(state: Column, item: Column) -> Column:
         takes = state.used + item.u <= total_budget
         return F.struct(
             F.when(takes, state.used + item.u).otherwise(state.used).alias("used"),
-            F.when(takes, F.concat(state.taken, F.array(item.q))).otherwise(state.taken).alias("taken"),
+            F.when(takes, F.concat(state.taken, F.array(item))).otherwise(state.taken).alias("taken"),
         )
 
-    chosen = candidates.select("platform", F.explode(F.aggregate("c", start, step).taken).alias("query_id"))
-    marked = registry.join(chosen.withColumn("_chosen", F.lit(True)), ["platform", "query_id"], "left")
-    status = F.when(F.col("_chosen"), "selected").otherwise("deferred_budget_limit")
-    return marked.withColumn("status", status).drop("_chosen")
+    taken = candidates.select(F.col("_platform").alias("t_platform"), F.explode(F.aggregate("c", start, step).taken).alias("t"))
+    counts = taken.groupBy("t_platform", "t").agg(F.count(F.lit(1)).alias("_taken"))
+    same = ["_platform", "query_id", "priority", "expected_units"]
+    placed = keyed.withColumn("_place", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64(*registry.columns))))
+    found = (
+        F.col("_platform").eqNullSafe(F.col("t_platform"))
+        & F.col("query_id").eqNullSafe(F.col("t.q"))
+        & F.col("priority").eqNullSafe(-F.col("t.p"))
+        & (F.col("expected_units") == F.col("t.u"))
+    )
+    status = (
+        F.when(~F.coalesce(F.col("expected_units") > 0, F.lit(False)), "invalid_expected_units")
+        .when(F.col("_place") <= F.coalesce("_taken", F.lit(0)), "selected")
+        .otherwise("deferred_budget_limit")
+    )
+    return placed.join(counts, found, "left").select(*registry.columns, status.alias("status"))
 
 
 def plan_summary(plan: DataFrame, total_budget: int = TOTAL_BUDGET) -> DataFrame:
-    """Counts and budget per platform."""
+    """Counts and budget per platform, in any letter case (its least spelling is shown), over rows with a valid cost."""
     chosen = F.col("status") == "selected"
     used = F.coalesce(F.sum(F.when(chosen, F.col("expected_units"))), F.lit(0)).cast("bigint")
-    return plan.groupBy("platform").agg(
+    valid = plan.filter(F.col("status") != "invalid_expected_units").groupBy(F.lower("platform").alias("_platform"))
+    return valid.agg(
+        F.min("platform").alias("platform"),
         F.count(F.lit(1)).alias("total_queries_available"),
         F.count_if(chosen).alias("total_queries_selected"),
         F.count_if(~chosen).alias("total_queries_deferred"),
         used.alias("total_budget_used"),
         F.lit(total_budget).cast("bigint").alias("total_budget_available"),
         (F.lit(total_budget).cast("bigint") - used).alias("leftover_budget"),
-    )
+    ).drop("_platform")
 
 
 def first_entries(plan: DataFrame, limit: int | None) -> DataFrame:
@@ -139,7 +154,8 @@ def newest_distinct(
 
 
 Aliases = Mapping[str, Mapping[str, Sequence[str]]]
-MAX_INLINE_ALIASES = 2000
+#: Characters of the pieces that texts and aliases meet by: long enough that common short words are no hot keys.
+PIECE = 8
 
 
 def alias_rows(aliases: Aliases) -> list[tuple[int, str, str, str]]:
@@ -154,42 +170,28 @@ def alias_rows(aliases: Aliases) -> list[tuple[int, str, str, str]]:
     return rows
 
 
-def _inline_match(text: Column, rows: Sequence[tuple[int, str, str, str]]) -> Column:
-    """First dictionary entry that equals, contains or is contained in the text."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.lit(g).alias("genre"), F.lit(t).alias("topic"), F.lit(a).alias("alias"))
-            for n, g, t, a in rows
-        ]
-    )
-    hits = F.filter(entries, lambda e: F.contains(e["alias"], text) | F.contains(text, e["alias"]))
-    return F.try_element_at(hits, F.lit(1))
-
-
-def _grams(text: Column) -> Column:
-    """Distinct substrings of 1 to 3 characters."""
+def _pieces(text: Column) -> Column:
+    """Distinct substrings of 1 to ``PIECE`` characters."""
     places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-
-    def pieces(length: int) -> Column:
-        return F.transform(places, lambda start: F.substring(text, start, F.lit(length)))
-
-    return F.array_distinct(F.concat(pieces(1), pieces(2), pieces(3)))
+    lengths = F.sequence(F.lit(1), F.lit(PIECE))
+    of_length = lambda n: F.transform(places, lambda start: F.substring(text, start, n))
+    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
 
 
 def match_aliases(queries: DataFrame, aliases: DataFrame, text: str = "_text") -> DataFrame:
-    """First alias per distinct query text by equi joins, for dictionaries of any size.
+    """First alias per distinct non-blank query text, by equi joins, for dictionaries of any size.
 
-    If one text contains the other, the first (up to) three characters of the shorter one occur in the longer
-    one, so both directions become joins on short substrings, each verified afterwards. ``aliases`` has the
+    If one text contains the other, the first (up to) ``PIECE`` characters of the shorter one occur in the longer
+    one, so both directions become joins on substrings, each verified afterwards. ``aliases`` has the
     columns ordinal, genre, topic, alias.
     """
     texts = queries.select(text).distinct().filter(F.col(text) != "")
-    head = lambda name: F.substring(name, 1, 3)
-    inside = texts.withColumn("_g", F.explode(_grams(F.col(text)))).join(
+    head = lambda name: F.substring(name, 1, PIECE)
+    inside = texts.withColumn("_g", F.explode(_pieces(F.col(text)))).join(
         aliases.withColumn("_g", head("alias")), "_g"
     )
     around = texts.withColumn("_g", head(text)).join(
-        aliases.withColumn("_g", F.explode(_grams(F.col("alias")))), "_g"
+        aliases.withColumn("_g", F.explode(_pieces(F.col("alias")))), "_g"
     )
     hits = inside.filter(F.contains(F.col(text), F.col("alias"))).unionByName(
         around.filter(F.contains(F.col("alias"), F.col(text)))
@@ -199,22 +201,34 @@ def match_aliases(queries: DataFrame, aliases: DataFrame, text: str = "_text") -
     )
 
 
-def resolve_aliases(queries: DataFrame, aliases: Aliases, inline_limit: int = MAX_INLINE_ALIASES) -> DataFrame:
+_MATCH = "struct<topic: string, genre: string, alias: string>"
+
+
+def _matched(queries: DataFrame, aliases: Aliases, text: str, blank: bool) -> DataFrame:
+    """``_match``: the first alias that equals, contains or is contained in the text.
+
+    Every text contains the blank one, so a blank text matches the first entry if ``blank``, else nothing.
+    """
+    rows = alias_rows(aliases)
+    if not rows:
+        return queries.withColumn("_match", F.lit(None).cast(_MATCH))
+    table = queries.sparkSession.createDataFrame(rows, "ordinal int, genre string, topic string, alias string")
+    found = queries.join(match_aliases(queries, table, text), text, "left")
+    if not blank:
+        return found
+    _, genre, topic, alias = rows[0]
+    first = F.struct(F.lit(topic).alias("topic"), F.lit(genre).alias("genre"), F.lit(alias).alias("alias"))
+    return found.withColumn("_match", F.when(F.col(text) == "", first).otherwise(F.col("_match")))
+
+
+def resolve_aliases(queries: DataFrame, aliases: Aliases) -> DataFrame:
     """Queries with ``resolved_topic`` and ``resolved_genre``.
 
     An explicit topic or genre wins; else the first dictionary entry whose alias matches the query text; else
-    the slug of the text and ``custom``. Dictionaries up to ``inline_limit`` entries are matched in the
-    projection without any join; larger ones by ``match_aliases``.
+    the slug of the text and ``custom``.
     """
     df = queries.withColumn("_text", F.lower(collapse_spaces(F.coalesce("query_text", F.lit("")))))
-    rows = alias_rows(aliases)
-    if not rows:
-        matched = df.withColumn("_match", F.lit(None).cast("struct<topic string, genre string>"))
-    elif len(rows) <= inline_limit:
-        matched = df.withColumn("_match", _inline_match(F.col("_text"), rows))
-    else:
-        table = queries.sparkSession.createDataFrame(rows, "ordinal int, genre string, topic string, alias string")
-        matched = df.join(match_aliases(df, table), "_text", "left")
+    matched = _matched(df, aliases, "_text", blank=True)
     given = lambda name: F.when(
         safe_text(col_or_null(queries, name)) != "", slug(col_or_null(queries, name))
     )
@@ -233,11 +247,7 @@ def resolve_analysis(queries: DataFrame, aliases: Aliases, registry: DataFrame)
     Columns: raw_query, matched_topic, matched_genre, matched_alias; blank queries match nothing.
     """
     cleaned = queries.select(normalized(F.col("query_text")).alias("raw_query"))
-    rows = alias_rows(aliases)
-    hit = F.when(F.col("raw_query") != "", _inline_match(F.col("raw_query"), rows)) if rows else None
-    matched = cleaned.withColumn(
-        "_match", hit if hit is not None else F.lit(None).cast("struct<topic string, alias string>")
-    ).select(
+    matched = _matched(cleaned, aliases, "raw_query", blank=False).select(
         "raw_query",
         F.lower(F.trim("_match.topic")).alias("matched_topic"),
         F.col("_match.alias").alias("matched_alias"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -66,10 +69,11 @@ def _lexicon_columns(df: DataFrame, lexicon: Lexicon | None) -> DataFrame:
 def classify(factory: ScorerFactory, batch_size: int = 32) -> Callable[[Column], Column]:
     """An Arrow iterator UDF from text to class probabilities.
 
-    ``factory`` runs once per Python worker task and returns the scorer, which gets lists of at most
+    ``factory`` runs once per Python worker process and returns the scorer, which gets lists of at most
     ``batch_size`` non-blank whole texts and returns label/score pairs for each. Only the text column travels
     to Python; everything that follows from the probabilities is computed in the JVM.
     """
+    key = uuid.uuid4().hex
     known = dict(LABEL_NAMES)
     parts = {"NEG": "negative", "NEU": "neutral", "POS": "positive"}
 
@@ -78,17 +82,20 @@ def classify(factory: ScorerFactory, batch_size: int = 32) -> Callable[[Column],
         return known.get(cleaned) or next((name for part, name in parts.items() if part in cleaned), "neutral")
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = factory()
+        # Workers are reused by later tasks; the last model stays loaded in a module that only holds it.
+        held = sys.modules.setdefault("_voxlake_scorer", types.ModuleType("_voxlake_scorer"))
+        if getattr(held, "key", None) != key:
+            held.scorer, held.key = factory(), key
         for texts in series:
-            out = pd.DataFrame({"positive": 0.0, "neutral": 0.0, "negative": 0.0}, index=texts.index)
-            filled = texts.fillna("")
+            filled = texts.fillna("").tolist()
+            found = {name: [0.0] * len(filled) for name in ("positive", "neutral", "negative")}
             active = [i for i, text in enumerate(filled) if text.strip()]
             for start in range(0, len(active), batch_size):
                 places = active[start : start + batch_size]
-                for place, scores in zip(places, scorer([filled.iloc[i] for i in places])):
+                for place, scores in zip(places, held.scorer([filled[i] for i in places])):
                     for item in scores:
-                        out.iat[place, out.columns.get_loc(label_name(item["label"]))] = float(item["score"])
-            yield out
+                        found[label_name(item["label"])][place] = float(item["score"])
+            yield pd.DataFrame(found, index=texts.index)
 
     return F.pandas_udf(run, "struct<positive: double, neutral: double, negative: double>")
 

@@ -27,22 +27,20 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 # Spark drops rows beyond a fixed row_number limit before the shuffle up to this limit (its default threshold).
 _PUSHED_LIMIT = 1000
-_SALTS = 64
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: Column | int) -> DataFrame:
     """The first ``limit`` rows of each group; the limit may differ per row of a group-constant column.
 
     Small fixed limits are cut before the shuffle by Spark itself. Otherwise the rows are ranked in two steps, first
-    in salted parts of the group, so a group with a third of all rows is sorted by many tasks and only the survivors
-    of each part meet. The first rows of a group are among the first rows of its parts, so nothing is lost.
+    within the input partitions, so a group with a third of all rows is sorted by as many tasks as read it and only the
+    survivors of each meet. The first rows of a group are among the first rows of its parts, so nothing is lost.
     """
     bound = limit if isinstance(limit, Column) else F.lit(limit)
     steps = [list(group)]
     ranked = df
     if isinstance(limit, Column) or limit > _PUSHED_LIMIT:
-        plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
-        ranked = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(_SALTS)))
+        ranked = df.withColumn("_salt", F.spark_partition_id())
         steps.insert(0, [*group, "_salt"])
     for keys in steps:
         window = Window.partitionBy(*keys).orderBy(*order)
@@ -55,7 +53,14 @@ def union_bronze(inputs: dict[str, DataFrame | None]) -> DataFrame:
     frames = [df.withColumn("source_table", F.lit(name)) for name, df in inputs.items() if df is not None]
     if not frames:
         raise FileNotFoundError(f"no bronze input found among {', '.join(inputs)}")
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    names = list(dict.fromkeys(name for df in frames for name in df.columns))
+    wide = [df.select([col_or_null(df, name, _type_of(name, frames)).alias(name) for name in names]) for df in frames]
+    return reduce(DataFrame.unionAll, wide)
+
+
+def _type_of(name: str, frames: Sequence[DataFrame]) -> str:
+    """The type of a column in the first frame that has it."""
+    return next(kind for df in frames for column, kind in df.dtypes if column == name)
 
 
 def curate(bronze: DataFrame) -> DataFrame:
@@ -134,9 +139,12 @@ def normalize_comments(comments: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: Sequence[str] = ("comment_id",)) -> DataFrame:
-    """The last ingested row of each key (Spark has no file order, so the order is explicit)."""
-    order = [F.col("ingested_at").desc_nulls_last()] if "ingested_at" in df.columns else []
-    return newest_per_key(df, keys, order)
+    """The last ingested row of each key, of these the last updated, then the last published.
+
+    Spark has no file order, so the order is explicit; rows equal in all that differ by a hash of the row.
+    """
+    times = ("ingested_at", "comment_updated_at", "comment_published_at")
+    return newest_per_key(df, keys, [F.col(name).desc_nulls_last() for name in times if name in df.columns])
 
 
 __all__ = [

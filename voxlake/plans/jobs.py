@@ -75,18 +75,19 @@ def bronze_daily(
 ) -> dict[str, Any]:
     """Run records to the bronze table, plus a run row per manifest.
 
-    Rows whose key is in the table already are left out, so repeating a manifest adds nothing.
+    Rows whose key is in the table already are left out, so repeating a manifest adds nothing, and the run rows say so.
+    What is new is a table before it is appended: the run rows count the same rows, and the input is evaluated once.
     """
     at = at or now_iso()
     contract = CONTRACTS[DAILY]
     rows = bronze.records_to_bronze(records, manifests, plan, at)
     target = read_if_exists(spark, contract.path(root), fmt, contract.schema if fmt == "parquet" else None)
-    fresh, seen = _observed(bronze.missing_from(rows, target))
+    fresh = staged(bronze.missing_from(rows, target), "new-rows")
     append(fresh, contract.path(root), contract.partition_by, fmt)
-    log = daily_run_log(manifests, rows, at, root)
+    log = daily_run_log(manifests, fresh, at, root)
     runs_path = write_contract(log, "bronze.daily_ingestion_runs", root, "append", fmt, refuse_empty=False)
     return {
-        "comments_records_written": _rows(seen),
+        "comments_records_written": fresh.count(),
         "comments_table_path": contract.path(root),
         "runs_table_path": runs_path,
     }
@@ -217,13 +218,14 @@ def score_silver(
     at: str | None = None,
     factory: scoring.ScorerFactory | None = None,
     model_name: str = "lexicon",
-    dates: Sequence[str] | None = None,
+    dates: Sequence[str | None] | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> str:
-    """Score the silver table, whole or for some collection dates; it is keyed by comment, so nothing shuffles."""
+    """Score the silver table, whole or for some collection dates (``None`` among them: comments without a date); it is
+    keyed by comment, so nothing shuffles."""
     comments = read_contract(spark, root, SILVER, fmt)
     if dates is not None:
-        comments = comments.filter(as_date(comments, "collection_date").cast("string").isin(list(dates)))
+        comments = comments.filter(_on(as_date(comments, "collection_date").cast("string"), dates))
     scored = scoring.enrich_sentiment(
         comments, factory, model_name, processed_at=at or now_iso(), deduplicated=True
     )
@@ -232,8 +234,14 @@ def score_silver(
     )
 
 
+def _on(day: Column, dates: Sequence[str | None]) -> Column:
+    """Whether a day is one of the dates, null for null."""
+    known = day.isin([d for d in dates if d is not None])
+    return F.coalesce(known, F.lit(False)) | day.isNull() if None in dates else F.coalesce(known, F.lit(False))
+
+
 def _build_marts(
-    spark: SparkSession, root: str, builders: dict, at: str | None, dates: Sequence[str] | None, fmt: str
+    spark: SparkSession, root: str, builders: dict, at: str | None, dates: Sequence[str | None] | None, fmt: str
 ) -> dict[str, str]:
     scored = read_contract(spark, root, SCORED, fmt)
     if scored.isEmpty():
@@ -242,7 +250,7 @@ def _build_marts(
     for key, build in builders.items():
         by_date = CONTRACTS[key].partition_by == ("collection_date",)
         touched = dates is not None and by_date
-        source = scored.filter(F.col("collection_date").isin(list(dates))) if touched else scored
+        source = scored.filter(_on(F.col("collection_date").cast("string"), dates)) if touched else scored
         mart = build(source, unique_ids=True, built_at=at or now_iso())
         out[key] = write_contract(
             mart, key, root, "overwrite", fmt, refuse_empty=False, only_touched_partitions=touched
@@ -301,7 +309,7 @@ def collection_metrics(
     spark: SparkSession, root: str, summaries: DataFrame, errors: DataFrame, fmt: str = DEFAULT_FORMAT
 ) -> dict[str, str]:
     """Query performance, ingestion runs and daily summary appended, then the overview rebuilt."""
-    performance = staged(runs.query_performance(summaries, errors), "query-performance")
+    performance = staged(runs.query_performance(summaries, errors), "query-performance")  # read by two tables
     out = {}
     for key, frame in {
         "bronze.ingestion_runs": runs.ingestion_runs(summaries, errors),
@@ -371,9 +379,9 @@ def custom_query_refresh(
     left = dates_of(SCORED) if had_scores else set()
     loaded = bronze_daily(spark, root, records, manifests, plan, at, fmt)
     silver_out = build_silver(spark, root, fmt=fmt)
-    touched = sorted((left | dates_of(SILVER)) - {None})
+    touched = sorted(left | dates_of(SILVER), key=lambda day: (day is not None, day))
     remaining = read_contract(spark, root, SILVER, fmt).select(F.col("collection_date").cast("string").alias("d"))
-    kept = {row["d"] for row in remaining.filter(F.col("d").isin(touched)).distinct().collect()}
+    kept = {row["d"] for row in remaining.filter(_on(F.col("d"), touched)).distinct().collect()}
     part = touched if had_scores and kept == set(touched) else None
     score_silver(spark, root, at, dates=part, fmt=fmt)
     return {

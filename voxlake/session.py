@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -27,32 +29,21 @@ def build_session(app_name: str = "voxlake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of a frame; for a plain scan this is the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(scan: DataFrame) -> DataFrame:
-    """Hand a small scan out to all cores.
-
-    Spark does not cut files into pieces below ``spark.sql.files.openCostInBytes``, so a file smaller than that per
-    core (or one of a single row group) would be worked on by few tasks. Only scans below that bound are
-    redistributed; larger ones keep their own splits and nothing is moved.
-    """
-    spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    floor = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
-    return scan.repartition(cores) if plan_bytes(scan) < cores * floor else scan
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="voxlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting, as in tests, falls back to the machine's temporary folder.
+    Only a local session without that setting, as in tests, gets a temporary folder, which goes with the process.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder and spark.sparkContext.master.startswith("local"):
-        folder = f"{tempfile.gettempdir()}/voxlake"
+        folder = _own_folder()
     if not folder:
         raise ValueError(f"{CHECKPOINT_KEY} is not set")
     return folder.rstrip("/")
@@ -72,11 +63,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(table: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a narrow table whose counted rows stay below the limit; else Spark chooses the join."""
-    return F.broadcast(table) if rows <= limit else table

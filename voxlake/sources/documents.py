@@ -31,6 +31,9 @@ THREAD_SCHEMA = (
 )
 
 
+_SHAPES = "unsupported comment document: expected a list, comments or records"
+
+
 def _element(document: str) -> Column:
     """The record list of a document of any accepted shape."""
     whole = f"try_variant_get({document}, '$', 'array<variant>')"
@@ -59,7 +62,7 @@ def records_from_documents(documents: DataFrame, document: str = "document") ->
         "_elements",
         F.coalesce(
             _element(document),
-            F.raise_error(F.lit("unsupported comment document: expected a list, comments or records")).cast(
+            F.raise_error(F.lit(_SHAPES)).cast(
                 "array<variant>"
             ),
         ),
@@ -74,19 +77,112 @@ def records_from_documents(documents: DataFrame, document: str = "document") ->
     )
 
 
-def read_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Each JSON file as one variant ``document`` with its file path and folder."""
-    raw = spark.read.option("multiLine", True).option("singleVariantColumn", "document").json(path)
-    return raw.select(
-        "document",
-        F.col("_metadata.file_path").alias("source_path"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("run_folder"),
+def _split(lists: tuple[str, ...], shape_error: str):
+    """A function over (path, content) that cuts JSON documents into the texts of their records, of any number.
+
+    A document is a list, or an object with one of ``lists``; of several the first named counts. Without ``lists`` the
+    document is an object, and its record has the object's values that are no lists or objects. Records are found one
+    after the other; only the bytes of the file and one record are held.
+    """
+
+    def run(batches):
+        import json
+
+        import pyarrow as pa
+
+        decode, gap = json.JSONDecoder().raw_decode, json.decoder.WHITESPACE.match
+
+        def elements(text, at):
+            """Start and end of each value of the list that begins at ``at``; last the end of the list."""
+            at = gap(text, at + 1).end()
+            while text[at] != "]":
+                _, end = decode(text, at)
+                yield at, end
+                at = gap(text, end).end()
+                if text[at] == ",":
+                    at = gap(text, at + 1).end()
+                elif text[at] != "]":
+                    raise ValueError(f"no comma at {at}")
+            yield at + 1, None
+
+        def members(text, at):
+            """Name, start and end of each value of the object; values of ``lists`` that are lists give their elements."""
+            at = gap(text, at + 1).end()
+            while text[at] != "}":
+                name, at = decode(text, at)
+                at = gap(text, at).end()
+                if text[at] != ":":
+                    raise ValueError(f"no colon at {at}")
+                start = gap(text, at + 1).end()
+                if name in lists and text[start] == "[":
+                    found = list(elements(text, start))
+                    at = found.pop()[0]
+                    yield name, found
+                else:
+                    value, at = decode(text, start)
+                    yield name, value
+                at = gap(text, at).end()
+                if text[at] == ",":
+                    at = gap(text, at + 1).end()
+                elif text[at] != "}":
+                    raise ValueError(f"no comma at {at}")
+
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = content.as_py().decode("utf-8-sig")
+                try:
+                    at = gap(text, 0).end()
+                    spans, single = None, None
+                    if lists and text[at] == "[":
+                        spans = list(elements(text, at))[:-1]
+                    elif text[at] == "{":
+                        named = dict(members(text, at))
+                        if lists:
+                            spans = next((named[n] for n in lists if isinstance(named.get(n), list) and n in named), None)
+                        else:
+                            single = json.dumps({k: v for k, v in named.items() if not isinstance(v, (list, dict))})
+                except (ValueError, IndexError) as error:
+                    raise ValueError(f"{path} is no JSON document: {error}") from error
+                if single is None and spans is None:
+                    raise ValueError(f"{shape_error} ({path})")
+                texts = [single] if single is not None else [text[a:b] for a, b in spans]
+                for low in range(0, max(1, len(texts)), 1000):
+                    part = texts[low : low + 1000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path] * len(part), pa.string()), pa.array(range(low + 1, low + 1 + len(part)), pa.int64()), pa.array(part, pa.string())],
+                        names=["source_path", "position", "text"],
+                    )
+
+    return run
+
+
+def read_records(spark: SparkSession, path: str | Sequence[str], lists: tuple[str, ...], shape_error: str) -> DataFrame:
+    """``source_path, run_folder, position, record`` (a variant) of all JSON objects in the lists of JSON files.
+
+    A file is cut by one task; no limit of a single value applies to it, only to each record.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    cut = files.mapInArrow(_split(lists, shape_error), "source_path string, position bigint, text string")
+    rows = cut.select(
+        "source_path",
+        F.regexp_extract("source_path", r"([^/]+)/[^/]+$", 1).alias("run_folder"),
+        "position",
+        F.parse_json("text").alias("record"),
     )
+    return rows.filter(F.expr("schema_of_variant(record) LIKE 'OBJECT%'"))
 
 
-def read_run_records(spark: SparkSession, pattern: str) -> DataFrame:
-    """Raw comment records of all run folders that match the file pattern."""
-    return records_from_documents(read_documents(spark, pattern))
+def read_run_records(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame:
+    """Raw comment records of all run folders that match the file pattern, in documents of any accepted shape and size."""
+    rows = read_records(spark, pattern, ("comments", "records"), _SHAPES)
+    return rows.select(
+        "source_path",
+        "run_folder",
+        "position",
+        *[_field("record", name) for name in RECORD_FIELDS],
+        F.to_json("record").alias("raw_record_json"),
+    )
 
 
 # Manifest and plan fields.
@@ -97,32 +193,25 @@ _PLAN_FIELDS = "query_id query_text topic genre cadence priority expected_units
 
 def read_manifests(spark: SparkSession, pattern: str) -> DataFrame:
     """One row per run folder with the manifest's fields."""
-    documents = read_documents(spark, pattern)
+    documents = read_records(spark, pattern, (), "unsupported manifest: expected an object")
     return documents.select(
         F.col("source_path").alias("manifest_path"),
         "run_folder",
-        *[_field("document", name) for name in _MANIFEST_FIELDS],
-        *[_field("document", name) for name in _MANIFEST_COUNTS],
+        *[_field("record", name) for name in (*_MANIFEST_FIELDS, *_MANIFEST_COUNTS)],
     )
 
 
 def latest_run(manifests: DataFrame, order: str = "manifest_path") -> DataFrame:
-    """Only the run whose manifest path sorts last."""
+    """Only the run whose manifest path sorts last; reading it where there is no run is an error."""
     newest = manifests.agg(F.max_by(F.struct(*manifests.columns), F.col(order)).alias("m"))
-    return newest.filter(F.col("m").isNotNull()).select("m.*")
+    none = F.raise_error(F.lit("no run found")).cast(newest.schema["m"].dataType)
+    return newest.select(F.coalesce("m", none).alias("m")).select("m.*")
 
 
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     """Plan rows from a list or from an object with ``selected_queries``; the last row of a query id wins."""
-    listed = F.expr(
-        "coalesce(try_variant_get(document, '$', 'array<variant>'), "
-        "try_variant_get(document, '$.selected_queries', 'array<variant>'))"
-    )
-    rows = read_documents(spark, path).select(F.posexplode(listed).alias("position", "record"))
-    fields = rows.filter(F.expr("schema_of_variant(record) LIKE 'OBJECT%'")).select(
-        "position", *[_field("record", name) for name in _PLAN_FIELDS]
-    )
-    return plan_lookup(fields, order="position")
+    rows = read_records(spark, path, ("selected_queries",), "unsupported plan: expected a list or selected_queries")
+    return plan_lookup(rows.select("position", *[_field("record", name) for name in _PLAN_FIELDS]), order="position")
 
 
 def plan_lookup(plan: DataFrame, order: str | None = None) -> DataFrame:
@@ -135,9 +224,12 @@ def plan_lookup(plan: DataFrame, order: str | None = None) -> DataFrame:
     return ranked.filter("_rank = 1").drop("_rank", *([order] if order else []))
 
 
-def read_threads(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Nested threads of historical dumps (JSON list or lines), one row per thread with its file name."""
-    raw = spark.read.schema(THREAD_SCHEMA).option("multiLine", True).json(path)
+def read_threads(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """Nested threads of historical dumps, one row per thread with its file name.
+
+    A JSON list is streamed element by element by one task; files with a thread a ``line`` are split over tasks.
+    """
+    raw = spark.read.schema(THREAD_SCHEMA).option("multiLine", not lines).json(path)
     return raw.select("*", F.col("_metadata.file_path").alias("source_path"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,14 +45,17 @@ def read_contract(spark: SparkSession, root: str, key: str, fmt: str = DEFAULT_F
 
 
 def first_non_empty(readers: Sequence[Callable[[], DataFrame | None]]) -> DataFrame | None:
-    """The first tier that can be read and has a row; each check reads one row only."""
+    """The first tier that can be read and has a row; each check reads one row only.
+
+    A tier that cannot be read, be it absent, of another format or corrupt, is left out with a warning.
+    """
     for read in readers:
         try:
             frame = read()
             if frame is not None and not frame.isEmpty():
                 return frame
-        except AnalysisException:
-            continue
+        except (PySparkException, Py4JJavaError) as error:
+            warnings.warn(f"a tier cannot be read: {str(error).splitlines()[0]}", stacklevel=2)
     return None
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,10 @@ from voxlake.session import staged
 __all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hash_share", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "words"]
 
 #: Texts are worked on in runs of whole rows of about this many bytes, which keeps the arrays small.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
+#: Bytes of a batch that goes to a Python worker; Spark's default is eight times as much.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: True for bytes of a word; white space is 0x20 and 0x09 to 0x0D.
 WORD = np.ones(256, bool)
@@ -44,7 +48,14 @@ def drop_folder(spark: SparkSession, df: DataFrame) -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow``, with this library on the path of the Python workers where it is not installed."""
+    """``mapInArrow`` over small batches, with this library on the path of the Python workers where it is not installed.
+
+    The bound of a batch is a setting of the session; it is only ever lowered here.
+    """
+    conf = df.sparkSession.conf
+    number, unit = re.match(r"(\d+)([kmg]?)", conf.get(_BATCH_KEY).lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        conf.set(_BATCH_KEY, f"{BATCH_BYTES}b")
     context = df.sparkSession.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)

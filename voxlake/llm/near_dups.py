@@ -32,6 +32,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
+#: Pairs that a worker compares at a time, and terms of texts that it remembers from one to the next.
+PAIRS, KNOWN_TERMS = 128, 1 << 20
 _STEPS = [np.uint64(0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64)) for i in range(SHINGLE)]
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,22 +173,27 @@ def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     joined = pairs.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb")).select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = np.zeros((2, len(batch)))
-            sides = []
-            for column in (batch.column(2), batch.column(3)):
-                found, recent = [], {}
-                for at, end, raw, bounds in texts(column):
-                    grams, first, k1, k2 = shingle_rows(raw, bounds)
-                    for row in range(end - at):
-                        key = (int(k1[row]), int(k2[row]))
-                        if key not in recent:
-                            recent[key] = weighted(grams[first[row] : first[row + 1]])
-                        found.append(recent[key])
-                sides.append(found)
-            for i, (x, y) in enumerate(zip(*sides, strict=True)):
-                out[:, i] = likeness(x, y)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0]), pa.array(out[1])], names=["a", "b", "weighted", "plain"])
+        known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        held = 0
+        for whole in batches:
+            for low in range(0, len(whole), PAIRS):
+                batch = whole.slice(low, PAIRS)
+                sides = []
+                for column in (batch.column(2), batch.column(3)):
+                    found = []
+                    for at, end, raw, bounds in texts(column):
+                        grams, first, k1, k2 = shingle_rows(raw, bounds)
+                        for row in range(end - at):
+                            key = (int(k1[row]), int(k2[row]))
+                            if key not in known:
+                                if held > KNOWN_TERMS:
+                                    known, held = {}, 0
+                                known[key] = weighted(grams[first[row] : first[row + 1]])
+                                held += len(known[key][0])
+                            found.append(known[key])
+                    sides.append(found)
+                out = np.array([likeness(x, y) for x, y in zip(*sides, strict=True)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b", "weighted", "plain"])
 
     return map_arrow(joined, run, f"a {_NODE}, b {_NODE}, weighted double, plain double")
 
@@ -199,12 +206,11 @@ def components(links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node of the component of every linked node.
 
     Rounds of large stars (greater neighbours to the smallest neighbour) and small stars (all to it), until the edges
-    stay; they end as stars around roots. A node with many neighbours is one minimum and a join that splits its rows.
+    are stars around roots. A node with many neighbours is one minimum and a join that splits its rows.
     """
     spark = links.sparkSession
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "of")
         large = both.join(low, F.col("u") == F.col("of")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -214,10 +220,14 @@ def components(links: DataFrame) -> DataFrame:
         new = staged(small.distinct(), "edges")
         drop_folder(spark, edges)
         edges = new
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one, which has none."""
+    lower = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    roots = edges.select(F.col("v").alias("r")).distinct()
+    return lower.join(roots, F.col("u") == F.col("r"), "left").where((F.col("n") > 1) | F.col("r").isNotNull()).isEmpty()
 
 
 def _rooted(df: DataFrame, node: str, roots: DataFrame, name: str) -> DataFrame:

@@ -700,6 +700,37 @@ def _shapes(spark, d):
     return found.groupBy("run_folder", "topic", "like_count").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def manifest_files(spark, d):
+    """A manifest file in each run folder, with a list that is no field."""
+    folder = scratch(spark, "runs")
+    fields = F.struct("run_id", "generated_at", "plan_path", "normalized_comments_path", "queries_executed", "total_comments_collected", F.array("run_id").alias("comments"))
+    manifests(spark, d).select(F.to_json(fields).alias("value"), "run_folder").write.partitionBy("run_folder").text(folder)
+    return f"{folder}/*/*.txt"
+
+
+@case(
+    "manifest_reader",
+    sql(
+        """SELECT 'run_folder=' || run_folder AS run_folder, run_id, generated_at, plan_path, normalized_comments_path,
+    '40' AS queries_executed, CAST(total_comments_collected AS VARCHAR) AS total_comments_collected FROM man""",
+        "man",
+    ),
+)
+def _manifests(spark, d):
+    return documents.read_manifests(spark, manifest_files(spark, d)).select(
+        "run_folder", "run_id", "generated_at", "plan_path", "normalized_comments_path", "queries_executed", "total_comments_collected"
+    )
+
+
+@case("plan_reader", sql("SELECT query_id, query_text, topic, genre, cadence, priority, expected_units, language_target FROM plan", "plan"))
+def _plan_reader(spark, d):
+    folder = scratch(spark, "plan")
+    rows = plan_rows(spark, d)
+    listed = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("selected_queries"))
+    listed.select(F.to_json(F.struct("selected_queries")).alias("value")).write.text(folder)
+    return documents.read_plan(spark, f"{folder}/*.txt").select(*rows.columns)
+
+
 @case(
     "latest_run",
     sql("SELECT run_id, manifest_path, total_comments_collected FROM man ORDER BY manifest_path DESC LIMIT 1", "man"),
@@ -823,3 +854,21 @@ def _daily_run(spark, d):
     )
     kpis = read_contract(spark, root, "gold.youtube_sentiment_overview_kpis")
     return kpis.select("collection_date", "platform", "comments_count")
+
+
+@case(
+    "custom_query_refresh",
+    sql("SELECT collection_date, platform, count(*) AS comments_count FROM day_silver GROUP BY ALL", "day_silver"),
+)
+def _refresh(spark, d):
+    """The day with two thirds of its records, then a custom query that brings the rest: the marts are those of all."""
+    root = scratch(spark, "lakehouse")
+    plan = registry(spark, d).withColumn("platform", F.lit("youtube"))
+    all_records, rest = records(spark, d), F.col("position") % 3 == 0
+    jobs.daily_run(spark, root, plan, all_records.filter(~rest), manifests(spark, d), summaries(spark, d), errors(spark, d), at=AT)
+    query = table(spark, d, "nation").limit(1).select(
+        F.lit("youtube").alias("platform"), F.lower("n_name").alias("query_text"), F.lit(5).alias("priority"), F.lit(50).cast("bigint").alias("expected_units")
+    )
+    jobs.custom_query_refresh(spark, root, plan, query, {}, all_records.filter(rest), manifests(spark, d), AT)
+    kpis = read_contract(spark, root, "gold.youtube_sentiment_overview_kpis")
+    return kpis.select("collection_date", "platform", "comments_count")

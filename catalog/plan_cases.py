@@ -186,6 +186,14 @@ def _first(spark, d):
     return planning.first_entries(registry(spark, d), 12).select("query_id", "priority", "expected_units")
 
 
+@case(
+    "registry_presentation_order",
+    sql("SELECT query_id, priority, genre, topic FROM reg ORDER BY priority DESC, genre, topic, query_id LIMIT 30", "reg"),
+)
+def _registry_order(spark, d):
+    return planning.registry_order(registry(spark, d)).limit(30).select("query_id", "priority", "genre", "topic")
+
+
 @case(
     "newest_videos_per_query",
     sql(

@@ -15,6 +15,7 @@ def spark():
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from voxlake.operators import bronze, diagnostic, marts
@@ -136,3 +137,77 @@ def test_views_on_empty_and_single_day_input(spark):
     edges = spark.createDataFrame([(-1.01,), (-0.35,), (-0.05,), (0.05,), (0.35,), (1.01,), (1.2,)], "sentiment_score double")
     counts = [r["comments_count"] for r in diagnostic.endorsement(edges).orderBy("sentiment_bucket_order").collect()]
     assert counts == [2, 1, 1, 1, 1]
+
+
+def test_refresh_scores_comments_without_a_date(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    none = spark.createDataFrame([], "run_id string, query_id string, position bigint, error string")
+    first = spark.createDataFrame([record("2026-04-01", 1, "amazing camera")], RAW)
+    jobs.daily_run(spark, root, registry(spark), first, manifests(spark, "2026-04-01"), summaries(spark), none, at=AT)
+    query = spark.createDataFrame([("youtube", "cheap phone", 5, 50)], "platform string, query_text string, priority int, expected_units bigint")
+    more = spark.createDataFrame([record("2026-04-03", 1, "great"), ("daily-undated", 1, "q1", "v9", "undated", "perfect", "1", None, None)], RAW)
+    days = manifests(spark, "2026-04-03").unionByName(
+        manifests(spark, "undated").withColumn("generated_at", F.lit("no date")))
+    jobs.custom_query_refresh(spark, root, registry(spark), query, ALIASES, more, days, AT)
+    scored = read_contract(spark, root, jobs.SCORED)
+    assert {r["comment_id"] for r in scored.collect()} == {"c2026-04-01-1", "c2026-04-03-1", "undated"}
+
+
+def _events(spark, folder, *rows):
+    spark.createDataFrame([*rows], "event_id string, comment_published_at string, topic string, genre string, sentiment_label string, sentiment_score double, comment_like_count string").coalesce(
+        1).write.mode("append").parquet(folder)
+
+
+def _stream(spark, folder):
+    reader = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", "1")
+    return streaming.event_time(reader.parquet(folder))
+
+
+def test_late_events_are_kept_and_windows_grow(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), [str(tmp_path / f"out{i}") for i in range(4)]
+    event = lambda i, day: (f"e{i}", f"2026-04-{day:02d}T10:00:00Z", "t", None if i == 4 else "g", "positive", 0.5, "2")
+    for i, day in ((1, 8), (2, 9), (3, 3), (1, 8)):
+        _events(spark, folder, event(i, day))
+    streaming.drain(streaming.without_repeats(_stream(spark, folder)), out[0], out[1])
+    assert sorted(r["event_id"] for r in spark.read.parquet(out[0]).collect()) == ["e1", "e2", "e3"]
+    streaming.drain_windows(streaming.windowed_mart(_stream(spark, folder)), out[2], out[3])
+    _events(spark, folder, event(4, 3), event(5, 3))
+    streaming.drain_windows(streaming.windowed_mart(_stream(spark, folder)), out[2], out[3])
+    got = {(r["window_start"][:10], r["genre"]): r["comments_count"] for r in streaming.read_windows(spark, out[2]).collect()}
+    assert got == {("2026-04-03", "g"): 2, ("2026-04-03", None): 1, ("2026-04-08", "g"): 2, ("2026-04-09", "g"): 1}
+
+
+def test_drain_stops_at_its_bound_and_says_when_there_is_nothing(spark, tmp_path):
+    log, root, checkpoint = (str(tmp_path / name) for name in ("log", "lake", "checkpoint"))
+    for n in range(3):
+        message = json.dumps({"event_id": f"e{n}", "comment_id": f"c{n}", "comment_text": "x", "plan_date": "2026-04-01"})
+        spark.createDataFrame([("comments", 0, n, "k", message)], "topic string, partition bigint, offset bigint, key string, value string").coalesce(
+            1).write.mode("append").json(log)
+    read = lambda: docstore.read_message_files(spark, log, max_files=1)
+    run = lambda most=None: streaming.consume_available(spark, read(), root, checkpoint, most, AT)
+    assert run(1) == {"status": "success", "messages_consumed": 1}
+    assert run() == {"status": "success", "messages_consumed": 2}
+    assert run() == {"status": "empty", "messages_consumed": 0}
+    assert read_contract(spark, root, streaming.COMMENTS).count() == 3
+
+
+def test_a_corrupt_tier_is_left_out(spark, tmp_path):
+    from voxlake.sources.tables import comment_level_source
+
+    root = tmp_path / "lake"
+    broken = root / "silver" / "youtube_comments_sentiment"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("this is no parquet file")
+    spark.createDataFrame([("c1", "2026-04-01")], "comment_id string, collection_date string").write.parquet(str(root / "bronze" / "youtube_comments_daily_raw"))
+    with pytest.warns(UserWarning, match="cannot be read"):
+        assert [r["comment_id"] for r in comment_level_source(spark, str(root)).collect()] == ["c1"]
+
+
+def test_empty_video_mart_gives_the_comment_side(spark):
+    from voxlake.operators import descriptive
+
+    comments = spark.createDataFrame([("c1", "v1", "T", "ch", "t", "g", "3"), ("c2", "v1", "T", "ch", "t", "g", "5")],
+                                     "comment_id string, video_id string, video_title string, channel_title string, topic string, genre string, comment_like_count string")
+    empty = spark.createDataFrame([], "video_id string, comments_count bigint")
+    (row,) = descriptive.video_evidence(comments, empty).collect()
+    assert (row["video_id"], row["matched_comments"], row["total_comment_likes"], row["comments_count"]) == ("v1", 2, 8, 2)

@@ -81,7 +81,7 @@ def test_constraints(spark, rows):
     assert {r["query_id"]: len(r["violations"]) for r in bad.collect()} == {"q1": 2, "q2": 1}
 
 
-TYPED = ["Best iPhone 17", "AI", "phone", "budget phone review", "ipl", "match", "zzz", "a", "a i", "test  match day"]
+TYPED = ["Best iPhone 17", "AI", "phone", "budget phone review", "ipl", "match", "zzz", "a", "a i", "test  match day", "", "  "]
 
 
 def brute_alias(text):
@@ -94,10 +94,9 @@ def brute_alias(text):
     return None
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_alias_resolution_equals_brute_force(spark, limit):
+def test_alias_resolution_equals_brute_force(spark):
     df = spark.createDataFrame([(t,) for t in TYPED], "query_text string")
-    got = {r["query_text"]: (r["resolved_topic"], r["resolved_genre"]) for r in planning.resolve_aliases(df, ALIASES, limit).collect()}
+    got = {r["query_text"]: (r["resolved_topic"], r["resolved_genre"]) for r in planning.resolve_aliases(df, ALIASES).collect()}
     for text in TYPED:
         match = brute_alias(text)
         assert got[text] == match if match else got[text][1] == "custom", text
@@ -170,3 +169,16 @@ def test_recommendations(spark, rows):
     assert out[0] == "Query 'q1' is underperforming for topic 't'. Rewrite or deprioritize it." and len(out) == 2
     (none,) = prescriptive.recommendations(df.limit(0)).collect()
     assert none["recommendation"].startswith("No query performance data")
+
+
+def test_budget_of_one_platform_in_two_spellings_and_shared_ids(spark):
+    rows = [("youtube", "a", 5, 600), ("YouTube", "b", 4, 600), ("youtube", "c", 3, 300), ("youtube", "c", 3, 300), ("YOUTUBE", "c", 2, 50),
+            ("youtube", "d", 9, 0), ("youtube", "e", 9, None), ("youtube", "f", 9, -5), (None, "g", 1, 10)]
+    df = spark.createDataFrame(rows, "platform string, query_id string, priority int, expected_units bigint")
+    plan = planning.plan_within_budget(df, 1000)
+    got = sorted((r["query_id"], r["priority"], r["status"]) for r in plan.collect())
+    late, bad = "deferred_budget_limit", "invalid_expected_units"
+    assert got == [("a", 5, "selected"), ("b", 4, late), ("c", 2, "selected"), ("c", 3, late), ("c", 3, "selected"),
+                   ("d", 9, bad), ("e", 9, bad), ("f", 9, bad), ("g", 1, "selected")]
+    summary = {r["platform"]: (r["total_queries_available"], r["total_budget_used"]) for r in planning.plan_summary(plan, 1000).collect()}
+    assert summary == {"YOUTUBE": (5, 950), None: (1, 10)}

@@ -6,11 +6,11 @@ term of their first arrival. Two texts agree in a register with a chance equal t
 Arrivals are drawn in rounds, and a term ends once its next arrival is behind the last register's first: most terms of a
 long text are drawn once or twice.
 
-Texts of equal words are one node. Nodes that agree in a band of registers share a bucket. Instead of all pairs of a
-bucket, each node is compared with the bucket's centre; what is not alike meets a second centre; and what then is still
-apart is compared pairwise, without pairs that the distances to the centres rule out (both measures are metrics) and
-only where nodes share two bands, which two alike nodes all but surely do. Every pair is verified on whole texts: its
-probability Jaccard or plain Jaccard likeness is ``THRESHOLD`` or more. Classes are the connected components of links.
+Texts of equal words are one node. Nodes that agree in a band of registers share a bucket. Each node is first compared
+with the bucket's centre. Where a bucket then still holds several components, its texts meet in blocks under an
+inverted index of their terms, and the links between components are found. Every link is verified on whole texts: its
+probability Jaccard or plain Jaccard likeness is ``THRESHOLD`` or more. Classes are the connected components of links;
+pairs within a component are not compared, nor given out.
 
 Cases: null and empty texts, and rows without an id, have no terms: each is its own class; equal texts are one class,
 whatever their ids; the class id is the smallest document id of the class; an empty table gives an empty one. Extra
@@ -19,6 +19,7 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
 #: Pairs that a worker compares at a time, and terms of texts that it remembers from one to the next.
 PAIRS, KNOWN_TERMS = 128, 1 << 20
+#: Bytes of the texts of one bucket that meet those of another block in a task.
+BLOCK_BYTES = 4 << 20
 _STEPS = [np.uint64(0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64)) for i in range(SHINGLE)]
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -256,16 +259,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     links = first.where(alike(threshold)).select("a", "b")
     roots = components(links)
 
-    # What is not in its centre's component meets a second centre, the smallest such node of the bucket.
     placed = _rooted(_rooted(members, "node", roots, "root"), "centre", roots, "centre_root")
-    apart = placed.where("root <> centre_root")
-    second = apart.groupBy("bucket").agg(F.min("node").alias("second")).withColumnRenamed("bucket", "of")
-    pool = staged(members.join(second, F.col("bucket") == F.col("of")).drop("of"), "pool")
-    again = staged(verified(pool.where("node <> second").select(F.col("second").alias("a"), F.col("node").alias("b")).distinct(), contents), "second")
-    links = staged(links.unionByName(again.where(alike(threshold)).select("a", "b")), "links")
-    roots = components(links)
-
-    links = links.unionByName(_remaining(pool, first, again, roots, contents, threshold))
+    links = links.unionByName(_links_in_buckets(placed, contents, threshold))
     roots = components(links)
 
     rooted = _rooted(filled.select("doc", "tie", F.struct("k1", "k2").alias("node")), "node", roots, "root")
@@ -276,27 +271,73 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return found.unionByName(alone)
 
 
-def _remaining(pool: DataFrame, first: DataFrame, again: DataFrame, roots: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
-    """Links between nodes of a bucket that neither centre joined: pairs over two components that share two such buckets.
+def _links_in_buckets(placed: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: links between the components that still meet in a bucket; ``placed`` has ``bucket, node, root, centre_root``.
 
-    With ``d`` the distance to a centre, ``|d(x) - d(y)| <= d(x, y)``: pairs farther apart than the threshold allows in
-    both measures are left out. The nodes of the bucket's main component, its centre's, are not paired with each other.
+    The texts of such a bucket are dealt out in blocks of about ``BLOCK_BYTES``, and each two blocks meet in a task.
+    There an inverted index from terms to texts gives the overlap of a text with all others at once; only what can
+    reach the threshold is compared, and only links that join two components are given.
+    """
+    apart = placed.where("root <> centre_root").select(F.col("bucket").alias("open")).distinct()
+    rows = placed.join(apart, F.col("bucket") == F.col("open")).select("bucket", "node", "root")
+    sizes = rows.join(contents.select(F.col("node").alias("of"), F.octet_length("text").alias("n")), F.col("node") == F.col("of"))
+    blocks = sizes.groupBy(F.col("bucket").alias("sized")).agg(F.ceil(F.sum("n") / BLOCK_BYTES).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, F.col("bucket") == F.col("sized")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    meets = dealt.select("bucket", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    meets = meets.select("bucket", "node", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    read = meets.join(contents.select(F.col("node").alias("of"), "text"), F.col("node") == F.col("of")).select("bucket", "low", "high", "node", "root", "text")
+
+    def link(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        found = [None] * len(table)
+        for at, end, raw, bounds in texts(table.column("text")):
+            grams, first, _, _ = shingle_rows(raw, bounds)
+            for row in range(end - at):
+                found[at + row] = weighted(grams[first[row] : first[row + 1]])
+        pairs = joining_pairs(found, [(r["k1"], r["k2"]) for r in table.column("root").to_pylist()], threshold)
+        nodes = table.column("node").combine_chunks()
+        ends = [nodes.take(pa.array([p[side] for p in pairs], pa.int64())) for side in (0, 1)]
+        return pa.Table.from_arrays(ends, names=["a", "b"])
+
+    return read.groupBy("bucket", "low", "high").applyInArrow(link, f"a {_NODE}, b {_NODE}")
+
+
+def joining_pairs(found: list[tuple[np.ndarray, np.ndarray]], roots: list, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of texts that are alike and join two components; with the given roots they leave no alike pair apart.
+
+    The probability Jaccard likeness is at most the sum of the smaller shares of common terms, which is what the
+    index adds up beside their number.
     """
-    rows = _rooted(_rooted(pool, "node", roots, "root"), "centre", roots, "main")
-    open_buckets = rows.where("root <> main").select(F.col("bucket").alias("open")).distinct()
-    rows = rows.join(open_buckets, F.col("bucket") == F.col("open")).drop("open")
-    one = F.lit(1.0)
-    to_first = first.select(F.col("a").alias("c1"), F.col("b").alias("n1"), F.col("weighted").alias("w1"), F.col("plain").alias("p1"))
-    to_second = again.select(F.col("a").alias("c2"), F.col("b").alias("n2"), F.col("weighted").alias("w2"), F.col("plain").alias("p2"))
-    rows = rows.join(to_first, (F.col("centre") == F.col("c1")) & (F.col("node") == F.col("n1")), "left")
-    rows = rows.join(to_second, (F.col("second") == F.col("c2")) & (F.col("node") == F.col("n2")), "left")
-    rows = staged(rows.select("bucket", "node", "root", "main", *[F.coalesce(c, one).alias(c) for c in ("w1", "p1", "w2", "p2")]), "open")
-    out = rows.where("root <> main").select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"), *[F.col(c).alias("x" + c) for c in ("w1", "p1", "w2", "p2")])
-    room = 1 - threshold + 1e-9
-    reach = lambda k: (F.abs(F.col(f"xw{k}") - F.col(f"w{k}")) <= room) | (F.abs(F.col(f"xp{k}") - F.col(f"p{k}")) <= room)
-    pairs = out.join(rows, "bucket").where((F.col("rx") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("x") < F.col("node"))) & reach(1) & reach(2))
-    shared = pairs.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return verified(shared.where("n > 1").select("a", "b"), contents).where(alike(threshold)).select("a", "b")
+    parent = {r: r for r in roots}
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    lengths = np.array([len(t) for t, _ in found])
+    terms = np.concatenate([t for t, _ in found])
+    shares = np.concatenate([w / w.sum() for _, w in found])
+    who = np.repeat(np.arange(len(found)), lengths)
+    order = np.argsort(terms, kind="stable")
+    terms, shares, who = terms[order], shares[order], who[order]
+    main = Counter(roots).most_common(1)[0][0]
+    pairs = []
+    for i, (mine, weights) in enumerate(found):
+        if roots[i] == main:
+            continue
+        low, high = np.searchsorted(terms, mine, "left"), np.searchsorted(terms, mine, "right")
+        each = high - low
+        at = np.repeat(low - np.cumsum(each) + each, each) + np.arange(each.sum())
+        common = np.bincount(who[at], minlength=len(found))
+        least = np.bincount(who[at], np.minimum(shares[at], np.repeat(weights / weights.sum(), each)), len(found))
+        plain = common / (lengths + len(mine) - common)
+        for j in np.flatnonzero((plain >= threshold) | (least >= threshold - 1e-9)).tolist():
+            if top(roots[i]) != top(roots[j]) and max(likeness(found[i], found[j])) >= threshold:
+                parent[top(roots[i])] = top(roots[j])
+                pairs.append((i, j))
+    return pairs
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

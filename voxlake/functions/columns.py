@@ -14,10 +14,12 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def col_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    """The column, or a typed null when the frame does not have it (decided while planning)."""
-    if name in df.columns:
-        return F.col(name)
-    return F.lit(None).cast(dtype)
+    """The column, or a typed null when the frame does not have it (decided while planning).
+
+    The null's type is what the caller's union or contract expects, so that an absent column costs no cast later.
+    """
+    absent = F.lit(None).cast(dtype)
+    return {n: F.col(n) for n in present(df, [name])}.get(name, absent)
 
 
 def first_present(df: DataFrame, names: Sequence[str], dtype: str = "double") -> Column:

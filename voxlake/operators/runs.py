@@ -74,7 +74,9 @@ def query_performance(summaries: DataFrame, errors: DataFrame) -> DataFrame:
 
 def ingestion_runs(summaries: DataFrame, errors: DataFrame) -> DataFrame:
     """The same rows for the bronze run table, with the joined error messages."""
-    df = _with_errors(summaries, error_index(errors))
+    # Only messages of queries that have a row are gathered, so errors without a query id do not meet in one list.
+    asked = summaries.select("run_id", F.col("query_id").cast("string").alias("query_id")).distinct()
+    df = _with_errors(summaries, error_index(keyed_errors(errors).join(asked, _KEYS, "left_semi")))
     return df.select(
         "run_id",
         "run_date",

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Sequence
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +56,8 @@ def _observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]
 
 
 def _rows(seen: Observation, metric: str = "rows") -> int:
-    """An observed count; adaptive execution drops the observation of an input that turns out empty."""
-    try:
-        return int(seen.get.get(metric) or 0)
-    except Py4JJavaError:
-        return 0
+    """An observed count."""
+    return int(seen.get.get(metric) or 0)
 
 
 def bronze_daily(

@@ -811,8 +811,8 @@ def _store_job(spark, d):
 @case(
     "backfill_job",
     sql(
-        """SELECT 'x' AS part, count(*) AS documents, CAST(sum(like_count) AS BIGINT) AS likes FROM (
-    SELECT * FROM thread_docs QUALIFY row_number() OVER (PARTITION BY query_id, video_id, comment_id) = 1)""",
+        """SELECT run_id, query_id, video_id, thread_id, comment_id, comment_text, like_count, comment_level FROM thread_docs
+  QUALIFY row_number() OVER (PARTITION BY query_id, video_id, comment_id) = 1""",
         "thread_docs",
     ),
 )
@@ -827,9 +827,8 @@ def _backfill(spark, d):
     first, second = scratch(spark, "store"), scratch(spark, "store")
     jobs.backfill(spark, [source], f"{first}/absent", first)
     jobs.backfill(spark, [source], first, second)
-    store = spark.read.parquet(second)
-    return store.agg(
-        F.lit("x").alias("part"), F.count(F.lit(1)).alias("documents"), F.sum("like_count").alias("likes")
+    return spark.read.parquet(second).select(
+        "run_id", "query_id", "video_id", "thread_id", "comment_id", "comment_text", "like_count", "comment_level"
     )
 
 

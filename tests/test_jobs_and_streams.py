@@ -211,3 +211,16 @@ def test_empty_video_mart_gives_the_comment_side(spark):
     empty = spark.createDataFrame([], "video_id string, comments_count bigint")
     (row,) = descriptive.video_evidence(comments, empty).collect()
     assert (row["video_id"], row["matched_comments"], row["total_comment_likes"], row["comments_count"]) == ("v1", 2, 8, 2)
+
+
+def test_backfill_keeps_fields_that_a_source_lacks(spark, tmp_path):
+    key = ("r", "q", "v")
+    store = [str(tmp_path / name) for name in ("absent", "first", "second")]
+    names = "run_id string, query_id string, video_id string, comment_id string, mongo_loaded_at string, position bigint, source_type string, source_path string"
+    one = spark.createDataFrame([(*key, "c1", "2026-01-01", 1, "a", "a.json", "text 1", "en"), (*key, "c2", "2026-01-01", 2, "a", "a.json", "text 2", "en")], names + ", comment_text string, language string")
+    two = spark.createDataFrame([(*key, "c1", "2026-01-05", 1, "b", "b.json", "newer 1", 7)], names + ", comment_text string, like_count bigint")
+    jobs.backfill(spark, [one], store[0], store[1])
+    out = jobs.backfill(spark, [two, one.where("comment_id = 'c2'")], store[1], store[2])
+    got = {r["comment_id"]: (r["comment_text"], r["language"], r["like_count"]) for r in spark.read.parquet(store[2]).collect()}
+    assert got == {"c1": ("newer 1", "en", 7), "c2": ("text 2", "en", None)}
+    assert out["counts"] == {"input_documents": 2, "matched_documents": 2, "modified_documents": 1, "upserted_documents": 0}

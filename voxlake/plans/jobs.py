@@ -21,7 +21,7 @@ from voxlake.operators import bronze, forecast, marts, planning, runs, scoring,
 from voxlake.session import staged
 from voxlake.sinks.runlogs import collection_run_log, daily_run_log, historical_run_log
 from voxlake.sinks.tables import append, write_contract
-from voxlake.sinks.upsert import merge_rows, upsertable
+from voxlake.sinks.upsert import PRESENT, field_by_field, merge_rows, upsertable
 from voxlake.sources.docstore import scan_collection
 from voxlake.sources.documents import limit_per_source, source_summary
 from voxlake.sources.tables import DEFAULT_FORMAT, read_contract, read_if_exists
@@ -159,17 +159,22 @@ def backfill(
     and, unless ``dry_run``, the upsert counts.
     """
     limited = [limit_per_source(df, limit_records) for df in sources]
-    documents = silver.union_bronze({f"s{i}": df for i, df in enumerate(limited)}).drop("source_table")
+    marked = [df.withColumn(PRESENT, F.array(*map(F.lit, df.columns))) for df in limited]
+    documents = silver.union_bronze({f"s{i}": df for i, df in enumerate(marked)}).drop("source_table")
     out = {"sources": source_summary(documents)}
     if dry_run:
         return out
     tags = ["source_type", "source_path", "position"]
-    order: list[Column] = [F.col("mongo_loaded_at").desc_nulls_last(), F.col("position").desc_nulls_last()]
     given, read = _observed(documents)
-    incoming = upsertable(given, order).drop(*[c for c in tags if c in documents.columns])
+    if len({tuple(sorted(df.columns)) for df in limited}) > 1:
+        incoming = field_by_field(given, F.struct("mongo_loaded_at", "position", F.xxhash64("source_path")))
+    else:
+        order: list[Column] = [F.col("mongo_loaded_at").desc_nulls_last(), F.col("position").desc_nulls_last()]
+        incoming = upsertable(given.drop(PRESENT), order)
+    incoming = incoming.drop(*[c for c in tags if c in documents.columns])
     existing = read_if_exists(spark, store_path, fmt)
     if existing is None:
-        existing = spark.createDataFrame([], incoming.schema)
+        existing = spark.createDataFrame([], incoming.drop(PRESENT).schema)
     action = F.col("_action")
     merged, seen = _observed(
         merge_rows(existing, incoming),

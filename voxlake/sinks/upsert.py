@@ -28,10 +28,26 @@ def upsertable(documents: DataFrame, order: Sequence[Column], keys: Sequence[str
     return newest_per_key(keyed, keys, order)
 
 
+PRESENT = "_present"
+
+
+def field_by_field(documents: DataFrame, order: Column, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
+    """Documents of sources with different fields, one per key with a non-blank comment id.
+
+    ``_present`` names the fields that a document has. Each field is that of the last document, in the order, that has
+    it, as if the documents were written one after the other; ``_present`` then names the fields that any of them has.
+    """
+    keyed = with_text_keys(documents, keys).filter(F.col(keys[-1]) != "")
+    last = lambda name: F.max_by(name, F.when(F.array_contains(PRESENT, name), order)).alias(name)
+    fields = [last(name) for name in documents.columns if name not in keys and name != PRESENT]
+    return keyed.groupBy(*keys).agg(*fields, F.array_distinct(F.flatten(F.collect_set(PRESENT))).alias(PRESENT))
+
+
 def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = DOCUMENT_KEY) -> DataFrame:
     """Full outer key join of the stored and the incoming documents.
 
-    Fields of an incoming document replace stored ones, fields it does not have stay. ``_action`` is ``upserted``,
+    Fields of an incoming document replace stored ones, fields it does not have stay: those that the frame lacks, or
+    that ``_present``, where the frame has it, does not name. ``_action`` is ``upserted``,
     ``modified``, ``matched`` (no change) or null for rows that the input does not touch.
     """
     stored = with_text_keys(existing, keys).withColumn("_stored", F.lit(True)).alias("s")
@@ -39,10 +55,11 @@ def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = D
     joined = stored.join(fresh, [F.col(f"s.{k}") == F.col(f"f.{k}") for k in keys], "full")
     both = F.col("_stored").isNotNull() & F.col("_fresh").isNotNull()
     common = [c for c in incoming.columns if c in existing.columns and c not in keys]
-    added = [c for c in incoming.columns if c not in existing.columns]
+    added = [c for c in incoming.columns if c not in existing.columns and c != PRESENT]
+    given = lambda name: F.array_contains(f"f.{PRESENT}", name) if PRESENT in incoming.columns else F.lit(True)
     changed = F.lit(False)
     for name in common:
-        changed = changed | ~F.col(f"s.{name}").eqNullSafe(F.col(f"f.{name}"))
+        changed = changed | (given(name) & ~F.col(f"s.{name}").eqNullSafe(F.col(f"f.{name}")))
     for name in added:
         changed = changed | F.col(f"f.{name}").isNotNull()
     action = (
@@ -53,7 +70,7 @@ def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = D
         if name in keys:
             continue
         if name in common:
-            out.append(F.when(F.col("_fresh"), F.col(f"f.{name}")).otherwise(F.col(f"s.{name}")).alias(name))
+            out.append(F.when(F.col("_fresh") & given(name), F.col(f"f.{name}")).otherwise(F.col(f"s.{name}")).alias(name))
         else:
             out.append(F.col(f"s.{name}").alias(name))
     out += [F.col(f"f.{name}").alias(name) for name in added]

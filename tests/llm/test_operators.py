@@ -106,6 +106,42 @@ def test_one_list_with_most_vectors(spark):
     assert [r["vec_id"] for r in got] == [0, 6, 9, 12, 15]
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_neighbours_where_rows_share_ids(spark, copies):
+    """Every row ``copies`` times, each id with several vectors, one id with a third of all rows around every query."""
+    draw = np.random.default_rng(6)
+    points = draw.normal(size=(40, 6))
+    rows = [(i, (points[i] + 0.3 * draw.normal(size=6)).tolist()) for i in range(40) for _ in range(6)]
+    rows += [(777, (points[i % 40] + 0.01 * draw.normal(size=6)).tolist()) for i in range(120)]
+    asked = [(1000 + i, points[i].tolist()) for i in range(40)]
+    schema = "vec_id long, embedding array<double>"
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows * copies, schema), spark.createDataFrame(asked * copies, schema)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    found = 0
+    for query, point in asked:
+        score = ann.cosines(np.repeat([point], len(ids), axis=0), vectors)
+        best = {v: score[ids == v].max() for v in set(ids.tolist())}
+        assert sorted(got[query]) == [1, 2, 3, 4, 5]
+        assert len({v for v, _ in got[query].values()}) == 5
+        assert all(s <= best[v] + 1e-12 for v, s in got[query].values())
+        found += len(set(sorted(best, key=lambda v: (-best[v], v))[:5]) & {v for v, _ in got[query].values()})
+    assert found / (5 * len(asked)) >= 0.9
+
+
+def test_one_id_in_all_near_lists(spark):
+    """Lists that hold only vectors of one id do not count as many candidates."""
+    draw = np.random.default_rng(8)
+    rows = [(777, [1.0, *(0.01 * draw.normal(size=5))]) for _ in range(3000)]
+    rows += [(i, [-1.0, *(0.01 * draw.normal(size=5))]) for i in range(640)]
+    schema = "vec_id long, embedding array<double>"
+    asked = spark.createDataFrame([(1000, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0])], schema)
+    got = ann.nearest(spark.createDataFrame([(v, [float(x) for x in e]) for v, e in rows], schema), asked).collect()
+    assert sorted(r["rank"] for r in got) == [1, 2, 3, 4, 5]
+    assert min((r["rank"], r["vec_id"]) for r in got) == (1, 777) and len({r["vec_id"] for r in got}) == 5
+
+
 # ------------------------------------------------------------------ 3 urls
 
 SITES = queries.SITES

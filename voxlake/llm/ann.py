@@ -7,8 +7,9 @@ centroid already chosen is nearer to them than the vector is. A query searches t
 distance is within a ratio of the nearest one's, and more while these hold too few vectors.
 
 Every vector is in a list, so the index is over all rows. Lists are read in pages of bounded size against queries in
-blocks of bounded size, so neither a list with a third of all vectors nor one with many queries meets in one task. The
-best of each page are compared exactly, in double precision.
+blocks of bounded size, so neither a list with a third of all vectors nor one with many queries meets in one task. Rows
+equal in id and vector are one; pages and blocks are dealt by both, so an id with many vectors is in many of them. A
+page gives the best ids of each query, each with its best score, compared exactly in double precision.
 
 Cases: vectors that are null, zero, of another length than most, or that hold null or non-finite components take no
 part, nor do rows without an id; rows that share an id are candidates together, with the best score of them, and never
@@ -162,7 +163,7 @@ def homes(centroids: Centroids, vectors: np.ndarray) -> list[np.ndarray]:
 
 
 def probes(centroids: Centroids, queries: np.ndarray, sizes: np.ndarray, wanted: int) -> list[np.ndarray]:
-    """The lists that each query reads: within the ratio, and on until their own vectors are more than wanted."""
+    """The lists that each query reads: within the ratio, and on until their own ids are more than wanted."""
     ids, sims = centroids.search(queries, min(PROBES, max(1, len(centroids.vectors))))
     near = _distance(sims)
     keep = (ids >= 0) & (near <= PRUNE * near[:, :1] + 1e-9)
@@ -230,15 +231,14 @@ def nearest(
         return run
 
     schema = f"id {kind}, vec {vector_kind}, lists array<long>"
-    placed = staged(map_arrow(rows, listed(homes), schema), "placed")
-    # One row per list, of which there are at most MAX_LISTS.
-    counts = placed.select(F.posexplode("lists").alias("at", "list")).groupBy("list").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("at") == 0, 1)).alias("own")
-    )
+    placed = staged(map_arrow(rows.distinct(), listed(homes), schema), "placed")
+    # One row per list, of which there are at most MAX_LISTS. An id counts as own in one list, whatever its vectors.
     total, own = np.zeros(len(centroids.vectors), np.int64), np.zeros(len(centroids.vectors), np.int64)
-    for row in counts.collect():
-        total[row["list"]], own[row["list"]] = row["n"], row["own"]
-    reading = staged(map_arrow(asked, listed(lambda c, v: probes(c, v, own, k)), schema), "probes")
+    for row in placed.select(F.explode("lists").alias("list")).groupBy("list").count().collect():
+        total[row["list"]] = row["count"]
+    for row in placed.groupBy("id").agg(F.min(F.col("lists")[0]).alias("list")).groupBy("list").count().collect():
+        own[row["list"]] = row["count"]
+    reading = staged(map_arrow(asked.distinct(), listed(lambda c, v: probes(c, v, own, k)), schema), "probes")
     readers = np.zeros(len(total), np.int64)
     for row in reading.select(F.explode("lists").alias("list")).groupBy("list").count().collect():
         readers[row["list"]] = row["count"]
@@ -248,7 +248,7 @@ def nearest(
         spark.createDataFrame([(i, int(pages[i]), int(blocks[i])) for i in used] or [(-1, 1, 1)], "list long, pages int, blocks int")
     )
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    part = lambda n: F.pmod(F.xxhash64("id", "vec"), F.col(n)).cast("int")
     kept = placed.select("id", "vec", F.explode("lists").alias("list")).join(plan, "list")
     left = kept.select("id", "vec", "list", part("pages").alias("page"), each("blocks").alias("block"))
     probing = reading.select("id", "vec", F.explode("lists").alias("list")).join(plan, "list")
@@ -262,18 +262,26 @@ def nearest(
             _, v = matrix(vectors.column("vec"), dimensions)
             _, q = matrix(questions.column("vec"), dimensions)
             ids, asks = vectors.column("id").to_numpy(), questions.column("id").to_numpy()
+            order = np.argsort(ids, kind="stable")
+            v, ids = v[order], ids[order]
+            own, starts = np.unique(ids, return_index=True)
+            of_row = np.repeat(np.arange(len(own)), np.diff(np.append(starts, len(ids))))
             near = unit(q) @ unit(v).T
             near[asks[:, None] == ids[None, :]] = -np.inf
-            count = min(k, len(ids))
-            edge = np.partition(near, len(ids) - count, axis=1)[:, len(ids) - count]
-            # All that tie with the last up to rounding are compared by the exact measure.
-            i, j = np.nonzero((near >= edge[:, None] - 1e-9) & np.isfinite(near))
+            top = np.maximum.reduceat(near, starts, axis=1)
+            count = min(k, len(own))
+            edge = np.partition(top, len(own) - count, axis=1)[:, len(own) - count]
+            # All that tie, up to rounding, with the last id or with the best row of their id are compared by the exact measure.
+            i, j = np.nonzero((near >= np.maximum(edge[:, None], top[:, of_row]) - 1e-9) & np.isfinite(near))
             score = cosines(q[i], v[j])
-            order = np.lexsort((ids[j], -score, i))
+            order = np.lexsort((-score, of_row[j], i))
+            i, j, score = i[order], j[order], score[order]
+            first = np.ones(len(i), bool)
+            first[1:] = (i[1:] != i[:-1]) | (of_row[j[1:]] != of_row[j[:-1]])
+            i, j, score = i[first], j[first], score[first]
+            order = np.lexsort((of_row[j], -score, i))
             i, j, score = i[order], j[order], score[order]
-            turn = np.arange(len(i)) - np.searchsorted(i, i)
-            # Rows that share an id count once, below; where there are such, all pass.
-            take = (turn < k) | (len(ids) != len(np.unique(ids)))
+            take = np.arange(len(i)) - np.searchsorted(i, i) < k
             out = [asks[i[take]], ids[j[take]], score[take]]
         return pa.table([pa.array(out[0], of), pa.array(out[1], of), pa.array(out[2], pa.float64())], names=names)
 

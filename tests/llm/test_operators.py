@@ -307,6 +307,21 @@ def test_classes_by_brute_force(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(want.values()) and kept.count() == len(set(want.values()))
 
 
+def test_copies_that_repeat_a_passage_are_found(spark):
+    """Likeness by plain Jaccard alone: a passage said a thousand times on one side, 15 shingles more."""
+    draw, rows = random.Random(12), []
+    for i in range(0, 24, 2):
+        own = [f"p{i}x{draw.randrange(10**9)}" for _ in range(104)]
+        more = own + [f"q{i}x{j}" for j in range(11)]
+        rows += [(i, " ".join(more)), (i + 1, " ".join(more + own[60:94] * 1000))]
+    grams = [near_dups.weighted(near_dups.shingle_rows(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]) for _, t in rows]
+    for a, b in zip(grams[::2], grams[1::2], strict=True):
+        weighted, plain = near_dups.likeness(a, b)
+        assert weighted < 0.7 and plain >= near_dups.THRESHOLD
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dups.classes(frame).collect()} == {i: i - i % 2 for i in range(24)}
+
+
 def test_sketch_estimates_probability_jaccard():
     draw = random.Random(7)
     for _ in range(5):

@@ -4,9 +4,10 @@ The terms of a text are its shingles of five words (a shorter text is one shingl
 term is a Poisson process with its weight as rate; every arrival falls on one of ``REGISTERS`` registers, which keep the
 term of their first arrival. Two texts agree in a register with a chance equal to their probability Jaccard likeness.
 Arrivals are drawn in rounds, and a term ends once its next arrival is behind the last register's first: most terms of a
-long text are drawn once or twice.
+long text are drawn once or twice. A text that repeats terms has a second sketch with all weights 1, whose registers
+agree with a chance equal to the plain Jaccard likeness; where no term repeats, the two sketches are the same.
 
-Texts of equal words are one node. Nodes that agree in a band of registers share a bucket. Each node is first compared
+Texts of equal words are one node. Nodes that agree in a band of registers, of either sketch, share a bucket. Each node is first compared
 with the bucket's centre. Where a bucket then still holds several components, its texts meet in blocks under an
 inverted index of their terms, and the links between components are found. Every link is verified on whole texts: its
 probability Jaccard or plain Jaccard likeness is ``THRESHOLD`` or more. Classes are the connected components of links;
@@ -108,6 +109,15 @@ def bands(held: np.ndarray) -> np.ndarray:
     return out
 
 
+def buckets(grams: np.ndarray) -> np.ndarray:
+    """The bands of a text, by the weights of its terms and with all weights 1, each once."""
+    terms, weights = weighted(grams)
+    found = bands(sketch(terms, weights))
+    if len(terms) < len(grams):
+        found = np.unique(np.concatenate([found, bands(sketch(terms, np.ones(len(terms))))]))
+    return found
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
     """Probability Jaccard and plain Jaccard of two texts, each its terms in order and their weights.
 
@@ -150,7 +160,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         continue
                     key = (int(k1[row]), int(k2[row]))
                     if key not in seen:
-                        seen[key] = bands(sketch(*weighted(grams[first[row] : first[row + 1]]))).astype(np.int64)
+                        seen[key] = buckets(grams[first[row] : first[row + 1]]).astype(np.int64)
                     lists.append(seen[key])
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -99,6 +99,16 @@ def _ordered(spark, d):
     return marts.in_order(marts.weekday_hour(engagement(spark, d)), "weekday_hour").limit(40)
 
 
+@case(
+    "mart_presentation_order_all",
+    sql("SELECT * FROM weekday_hour ORDER BY collection_date, topic, genre, "
+        "list_position(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'], weekday_name), "
+        "comment_hour_24", "weekday_hour"),
+)
+def _ordered_all(spark, d):
+    return marts.in_order(marts.weekday_hour(engagement(spark, d)), "weekday_hour")
+
+
 @case("keyword_frequency_top25", sql("SELECT * FROM keywords", "keywords"))
 def _keywords(spark, d):
     return marts.keyword_frequency(comments(spark, d))

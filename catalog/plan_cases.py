@@ -194,6 +194,14 @@ def _registry_order(spark, d):
     return planning.registry_order(registry(spark, d)).limit(30).select("query_id", "priority", "genre", "topic")
 
 
+@case(
+    "registry_presentation_order_all",
+    sql("SELECT query_id, priority, genre, topic FROM reg ORDER BY priority DESC, genre, topic, query_id", "reg"),
+)
+def _registry_order_all(spark, d):
+    return planning.registry_order(registry(spark, d)).select("query_id", "priority", "genre", "topic")
+
+
 @case(
     "newest_videos_per_query",
     sql(

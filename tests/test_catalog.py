@@ -37,6 +37,24 @@ def test_equal_to_oracle(spark, name):
     assert canonical(got) == canonical(want)
 
 
+@pytest.mark.parametrize(
+    ("name", "keys", "cap"),
+    [
+        ("mart_presentation_order", ["collection_date", "topic", "genre", "weekday_name", "comment_hour_24"], 40),
+        ("registry_presentation_order", ["query_id"], 30),
+    ],
+)
+def test_whole_orders(spark, name, keys, cap):
+    """All rows, in the order of the SQL, past the cap of the short query of that name."""
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    got = driver.queries()[f"{name}_all"](spark, FOLDER).toPandas()
+    want = con.execute(driver.oracle_sql()[f"{name}_all"]).df()
+    assert len(got) > cap and canonical(got) == canonical(want)
+    assert [tuple(map(str, r)) for r in got[keys].values] == [tuple(map(str, r)) for r in want[keys].values]
+
+
 def test_library_never_collects_frames():
     """Driver-side collection is limited to single rows and to the touched dates of a refresh."""
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "voxlake")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from voxlake.session import staged
 
-__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hash_share", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "words"]
+__all__ = ["SLICE_BYTES", "WORD", "drop_folder", "fresh", "hash_share", "hashed_words", "key128", "map_arrow", "mix64", "read_table", "staged", "texts", "with_library", "words"]
 
 #: Texts are worked on in runs of whole rows of about this many bytes, which keeps the arrays small.
 SLICE_BYTES = 1 << 19
@@ -47,8 +47,18 @@ def drop_folder(spark: SparkSession, df: DataFrame) -> None:
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def with_library(df: DataFrame) -> DataFrame:
+    """The frame as it is; this library gets on the path of the Python workers where it is not installed."""
+    context = df.sparkSession.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return df
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` over small batches, with this library on the path of the Python workers where it is not installed.
+    """``mapInArrow`` over small batches, with this library on the path of the Python workers.
 
     The bound of a batch is a setting of the session; it is only ever lowered here.
     """
@@ -56,12 +66,7 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     number, unit = re.match(r"(\d+)([kmg]?)", conf.get(_BATCH_KEY).lower()).groups()
     if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
         conf.set(_BATCH_KEY, f"{BATCH_BYTES}b")
-    context = df.sparkSession.sparkContext
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    return df.mapInArrow(function, schema)
+    return with_library(df).mapInArrow(function, schema)
 
 
 def texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

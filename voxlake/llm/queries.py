@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and their SQL where SQL can express them."""
+"""The registered queries of the operators, each over its whole table, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import ann, bpe, langid, lines, mixing, near_dups, rans, secret_scan, simhash, url_rules
+from voxlake.llm import ann, audit, bpe, hard_negatives, langid, lines, mixing, near_dups, rans, secret_scan, simhash, url_rules
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,75 @@ def op9_rans_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     return secret_scan.scan(documents, secret_scan.fit(documents))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.interactions_of(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+SQL["op12_filter_audit"] = r"""
+WITH bare AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body FROM documents),
+counted AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words FROM bare),
+said AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(words) < 100 THEN 1 ELSE 0 END)
+    | (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END)
+    | (CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body) THEN 4 ELSE 0 END)
+    | (CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END)
+    | (CASE WHEN counted.doc_id > min(counted.doc_id) OVER (PARTITION BY body) THEN 16 ELSE 0 END) AS mask
+  FROM counted LEFT JOIN said ON counted.doc_id = said.doc_id),
+masks AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE (a.b | b.b | c.b | d.b | e.b) = 31),
+steps AS (
+  SELECT filter_order, s AS step, bits[s] AS own, list_sum(bits[1:s]) - bits[s] AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s)),
+told AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & (own::INT | before::INT) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before::INT <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before::INT = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM told
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+SQL["op13_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.vec, b.vec)::BIGINT AS score
+  FROM whole a, whole b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other)::INT AS rank,
+  n.other AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other) <= 10
+"""

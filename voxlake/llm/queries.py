@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm import ann, audit, bpe, hard_negatives, langid, lines, mixing, near_dups, rans, secret_scan, simhash, url_rules
+from voxlake.llm import ann, audit, bpe, hard_negatives, langid, lines, mixing, near_dups, rans, secret_scan, simhash, suffix_dedup, url_rules
 from voxlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,43 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(documents, secret_scan.fit(documents))
 
 
+@query
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = suffix_dedup.without_repeats(read_table(spark, folder, "documents"))
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+SQL["op11_suffix_dedup"] = f"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+places AS (SELECT doc_id, h, unnest(range(n - {suffix_dedup.LENGTH - 1})) AS i FROM bytes WHERE n >= {suffix_dedup.LENGTH}),
+windows AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, {2 * suffix_dedup.LENGTH})) AS s FROM places),
+repeats AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+opens AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {suffix_dedup.LENGTH}, true) AS first FROM repeats),
+numbered AS (SELECT doc_id, i, sum(first::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM opens),
+spans AS (
+  SELECT doc_id, min(i) AS low, max(i) + {suffix_dedup.LENGTH} AS high FROM numbered GROUP BY doc_id, span),
+cuts AS (
+  SELECT doc_id, low, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS kept_from FROM spans
+  UNION ALL SELECT b.doc_id, n, coalesce(max(high), 0) FROM bytes b LEFT JOIN spans s ON b.doc_id = s.doc_id GROUP BY b.doc_id, n),
+kept AS (
+  SELECT c.doc_id, string_agg(substr(h, 2 * kept_from + 1, 2 * (low - kept_from)), '' ORDER BY low) AS k
+  FROM cuts c JOIN bytes b ON c.doc_id = b.doc_id GROUP BY c.doc_id),
+removed AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(k)) AS kept_sha256
+FROM bytes b JOIN kept k ON b.doc_id = k.doc_id LEFT JOIN removed r ON b.doc_id = r.doc_id
+"""
+
+
 @query
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.interactions_of(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))

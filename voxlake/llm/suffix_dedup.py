@@ -16,8 +16,9 @@ sort is bounded in depth and discards what is unique:
    first places), are sorted by their own ``length`` bytes. In that order neighbours are compared; all but the first of
    equal ones are repeats.
 
-Sorting is by hashes of the strings (equality is all that is asked): as many bytes as keep a chance collision below one
-in a thousand for the whole corpus where it could only cost time, and below one in a million where it decides.
+Sorting is by hashes of the strings (equality is all that is asked). Where a collision could only cost time, one entry in
+thousands may have one; where it decides, as many bytes are kept as make the chance of any in the whole corpus less than
+one in four thousand, were every window of it compared.
 
 The corpus is packed once, in document order, into compressed chunks of about ``CHUNK`` bytes, so that a place is a
 chunk and an offset. Samples are dealt to buckets of bounded size by hash; a document sends each string once, however
@@ -69,17 +70,24 @@ def period_of(length: int) -> int:
     return max(fitting)
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Numbers as planes of bytes, lowest first, which compress where high bytes are alike."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of numbers, laid out as planes of bytes and compressed."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return np.array([len(values), width], "<u4").tobytes() + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _numbers(data: bytes, width: int) -> np.ndarray:
-    found = np.zeros((len(data) // width, 8), np.uint8)
-    found[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+def _unpacked(data: bytes) -> np.ndarray:
+    n, width = np.frombuffer(data, "<u4", 2).tolist()
+    found = np.zeros((n, 8), np.uint8)
+    if n and width:
+        found[:, :width] = np.frombuffer(pa.decompress(data[8:], n * width, codec="zstd"), np.uint8).reshape(width, n).T
     return found.view("<u8")[:, 0].astype(np.uint64)
 
 
+def _all(packs: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *map(_unpacked, packs)])
+
+
 def _width(largest: int) -> int:
     return max(1, -(-int(largest).bit_length() // 8))
 
@@ -193,7 +201,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         def chunk() -> pa.RecordBatch:
             bounds = np.concatenate([[0], np.cumsum([len(b) for b in bodies])]).astype(np.int64)
-            body = pa.compress(b"".join(bodies), codec="zstd", asbytes=True)
+            body = pa.Codec("zstd", compression_level=5).compress(b"".join(bodies), asbytes=True)
             columns = [[base + seq], [ids], [copies], [bounds], [int(bounds[-1])], [body]]
             kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "ids", "copies", "bounds", "size", "body"])
@@ -226,7 +234,7 @@ def _sampled(chunks: DataFrame, length: int, name_bytes: int, buckets: int) -> D
                 names, at, first = chunk.names(places, docs, name_bytes)
                 own = first == np.arange(len(first))
                 names, places, width = names[own], places[at[own]].astype(np.uint64), _width(len(chunk.raw))
-                out = [(b, chunk.number, _planes(names[i:j], name_bytes), _planes(places[i:j], width)) for b, i, j in _dealt(names, 8 * name_bytes, buckets)]
+                out = [(b, chunk.number, _packed(names[i:j], name_bytes), _packed(places[i:j], width)) for b, i, j in _dealt(names, 8 * name_bytes, buckets)]
                 columns = list(zip(*out, strict=True)) or [[], [], [], []]
                 kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "chunk", "names", "places"])
@@ -234,24 +242,23 @@ def _sampled(chunks: DataFrame, length: int, name_bytes: int, buckets: int) -> D
     return map_arrow(chunks.select("chunk", "bounds", "body"), run, "bucket int, chunk long, names binary, places binary")
 
 
-def _entries(table: pa.Table, name_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All entries of a bucket in order of chunk: chunks of the rows, row of each entry, low bytes of names, places."""
+def _entries(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """All entries of a bucket in order of chunk: chunks of the rows, row of each entry, and the packed columns."""
     order = np.argsort(table.column("chunk").to_numpy(), kind="stable")
-    chunks = table.column("chunk").to_numpy()[order]
-    names, places = table.column("names").to_pylist(), table.column("places").to_pylist()
-    sizes = np.array([len(names[i]) // name_bytes for i in order], np.int64)
-    every = [_numbers(names[i], name_bytes) if name_bytes <= 8 else np.frombuffer(names[i], np.uint8) for i in order]
-    spots = [_numbers(places[i], len(places[i]) // n) for i, n in zip(order, sizes, strict=True) if n]
-    flat = np.concatenate(spots) if spots else np.zeros(0, np.uint64)
-    return chunks, np.repeat(np.arange(len(chunks)), sizes), every, flat
+    found = [[packs[i] for i in order] for packs in (table.column(c).to_pylist() for c in columns)]
+    sizes = [int(np.frombuffer(pack, "<u4", 1)[0]) for pack in found[0]]
+    return table.column("chunk").to_numpy()[order], np.repeat(np.arange(len(order)), sizes), [_all(packs) for packs in found]
 
 
 def _named(sampled: DataFrame, name_bytes: int) -> DataFrame:
-    """``chunk, places, head_chunks, head_places``: names that more than one document holds, and where each is first."""
+    """``chunk, places, head_chunks, steps``: names that more than one document holds, and where each is first.
+
+    ``steps`` lead from a place to that of its head, in another chunk or in this one; they are alike along a repeat.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        chunks, row, every, places = _entries(table, name_bytes)
-        names, at = _in_order(np.concatenate(every), 8 * name_bytes)
+        chunks, row, (names, places) = _entries(table, "names", "places")
+        names, at = _in_order(names, 8 * name_bytes)
         fresh = np.ones(len(names), bool)
         fresh[1:] = names[1:] != names[:-1]
         shared = ~fresh
@@ -265,13 +272,13 @@ def _named(sampled: DataFrame, name_bytes: int) -> DataFrame:
         for n, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if a < b:
                 own = np.argsort(places[mine[a:b]], kind="stable") + a
-                data = (places[mine[own]], chunks[row[head[own]]].astype(np.uint64), places[head[own]])
-                out.append((int(chunks[n]), *(_planes(d, 8) for d in data)))
+                data = (places[mine[own]], chunks[row[head[own]]].astype(np.uint64), places[head[own]] - places[mine[own]])
+                out.append((int(chunks[n]), *(_packed(d, 8) for d in data)))
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         kinds = [pa.int64(), *[pa.binary()] * 3]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "places", "head_chunks", "head_places"])
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "places", "head_chunks", "steps"])
 
-    return with_library(sampled).groupBy("bucket").applyInArrow(run, "chunk long, places binary, head_chunks binary, head_places binary")
+    return with_library(sampled).groupBy("bucket").applyInArrow(run, "chunk long, places binary, head_chunks binary, steps binary")
 
 
 def _chunk_of(table: pa.Table, length: int) -> Chunk:
@@ -285,7 +292,7 @@ def decide(chunk: Chunk, heads: dict[str, np.ndarray], name_bytes: int) -> tuple
     _, at, first = chunk.names(places, docs, name_bytes)
     head_chunk, head_place = np.full(len(places), -1, np.int64), np.zeros(len(places), np.int64)
     known = np.searchsorted(places, heads["places"])
-    head_chunk[known], head_place[known] = heads["head_chunks"], heads["head_places"]
+    head_chunk[known], head_place[known] = heads["head_chunks"], heads["places"] + heads["steps"]
     # Further places of a name in one document have the head of its first place, which is that place if no other is.
     again = np.flatnonzero(first != np.arange(len(first)))
     own = at[first[again]]
@@ -325,13 +332,13 @@ def _chain_ends(linked: np.ndarray, step: int) -> np.ndarray:
 
 
 def _undecided(chunks: DataFrame, named: DataFrame, length: int, name_bytes: int, window_bytes: int, buckets: int) -> DataFrame:
-    """``bucket, chunk, names, places, gone``: windows to merge by bucket, and the windows known to go (``gone``)."""
+    """``bucket, chunk, high, low, places, gone``: windows to merge by bucket, and the windows known to go (``gone``)."""
 
     def run(text: pa.Table, heads: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if len(text):
             chunk = _chunk_of(text, length)
-            found = {c: np.concatenate([_numbers(d, 8) for d in heads.column(c).to_pylist()] or [np.zeros(0, np.uint64)]).astype(np.int64) for c in heads.column_names[1:]}
+            found = {c: _all(heads.column(c).to_pylist()).view(np.int64) for c in heads.column_names[1:]}
             sure, open_ = decide(chunk, found, name_bytes)
             starts = np.flatnonzero(open_)
             high, low = _windows(chunk.raw, starts, length)
@@ -343,36 +350,34 @@ def _undecided(chunks: DataFrame, named: DataFrame, length: int, name_bytes: int
             high, low, starts = high[fresh], low[fresh], starts[fresh].astype(np.uint64)
             width = _width(len(chunk.raw))
             for bucket, a, b in _dealt(high, 64, buckets):
-                out.append((bucket, chunk.number, _planes(high[a:b], 8) + _planes(low[a:b], window_bytes - 8), _planes(starts[a:b], width), None))
+                packs = (_packed(high[a:b], 8), _packed(low[a:b], window_bytes - 8), _packed(starts[a:b], width))
+                out.append((bucket, chunk.number, *packs, None))
             runs = np.stack(_runs(sure))
             if runs.shape[1]:
-                out.append((chunk.number % buckets, chunk.number, b"", b"", runs.astype("<i8").tobytes()))
-        columns = list(zip(*out, strict=True)) or [[], [], [], [], []]
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 3]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "chunk", "names", "places", "gone"])
+                out.append((chunk.number % buckets, chunk.number, None, None, None, _packed(runs.reshape(-1).astype(np.uint64), _width(len(chunk.raw)))))
+        columns = list(zip(*out, strict=True)) or [[], [], [], [], [], []]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "chunk", "high", "low", "places", "gone"])
 
-    return with_library(chunks).groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(run, "bucket int, chunk long, names binary, places binary, gone binary")
+    return with_library(chunks).groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(run, "bucket int, chunk long, high binary, low binary, places binary, gone binary")
 
 
-def _merged(undecided: DataFrame, window_bytes: int) -> DataFrame:
+def _merged(undecided: DataFrame) -> DataFrame:
     """``chunk, places, gone``: windows whose string is at an earlier place, and what was known before."""
 
     def run(table: pa.Table) -> pa.Table:
         known = table.filter(pc.is_valid(table.column("gone")))
         asked = table.filter(pc.is_null(table.column("gone")))
-        out = [(c, b"", g) for c, g in zip(known.column("chunk").to_pylist(), known.column("gone").to_pylist(), strict=True)]
+        out = [(c, None, g) for c, g in zip(known.column("chunk").to_pylist(), known.column("gone").to_pylist(), strict=True)]
         if len(asked):
-            chunks, row, every, places = _entries(asked, window_bytes)
-            planes = [e.reshape(window_bytes, -1) for e in every]
-            high = np.concatenate([_numbers(p[:8].tobytes(), 8) for p in planes])
-            low = np.concatenate([_numbers(p[8:].tobytes(), window_bytes - 8) for p in planes])
+            chunks, row, (high, low, places) = _entries(asked, "high", "low", "places")
             order = _by_string(high, low)
-            h, lo = high[order], low[order]
+            high, low = high[order], low[order]
             repeat = np.zeros(len(order), bool)
-            repeat[1:] = (h[1:] == h[:-1]) & (lo[1:] == lo[:-1])
+            repeat[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
             gone = np.sort(order[repeat])
             cuts = np.searchsorted(row[gone], np.arange(len(chunks) + 1))
-            out += [(int(chunks[n]), _planes(places[gone[a:b]], 8), b"") for n, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+            out += [(int(chunks[n]), _packed(places[gone[a:b]], 8), None) for n, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         kinds = [pa.int64(), pa.binary(), pa.binary()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "places", "gone"])
@@ -390,8 +395,8 @@ def _kept(chunks: DataFrame, gone: DataFrame, length: int) -> DataFrame:
         if not len(text):
             return pa.table([pa.array([], k) for k in kinds], names=names)
         chunk = _chunk_of(text, length)
-        runs = [np.frombuffer(g, "<i8").reshape(2, -1) for g in known.column("gone").to_pylist() if g]
-        singles = [_numbers(p, 8).astype(np.int64) for p in known.column("places").to_pylist() if p]
+        runs = [_unpacked(g).astype(np.int64).reshape(2, -1) for g in known.column("gone").to_pylist() if g]
+        singles = [_unpacked(p).astype(np.int64) for p in known.column("places").to_pylist() if p]
         low = np.concatenate([r[0] for r in runs] + singles + [np.zeros(0, np.int64)])
         high = np.concatenate([r[1] + length - 1 for r in runs] + [s + length for s in singles] + [np.zeros(0, np.int64)])
         covered = _ranges(len(chunk.raw), low, high)
@@ -423,13 +428,13 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     total = chunks.agg(F.sum("size")).first()[0] or 0
     period = period_of(length)
     samples = total * len(COVERS[period]) // period
-    # Bits of a name: log2 of the entries, and twelve more. Of a window: twice that of all windows, and twenty.
+    # Bits of a name: log2 of the entries, and twelve more. Of a window: twice log2 of all windows, and twelve.
     name_bytes = min(8, max(4, -(-(samples.bit_length() + 12) // 8)))
-    window_bytes = min(16, max(9, -(-(2 * total.bit_length() + 20) // 8)))
+    window_bytes = min(16, max(9, -(-(2 * total.bit_length() + 12) // 8)))
     buckets = max(1, -(-samples // BUCKET))
     named = staged(_named(_sampled(chunks, length, name_bytes, buckets), name_bytes), "names")
     undecided = _undecided(chunks, named, length, name_bytes, window_bytes, buckets)
-    found = _kept(chunks, _merged(undecided, window_bytes), length)
+    found = _kept(chunks, _merged(undecided), length)
     # Rows of one id and text: each number of a page of copies, so that no array is long.
     page = 1 << 16
     pages = found.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / page))))

@@ -104,7 +104,8 @@ class Page:
                     marks[by_value[a:b, f]] += 1
                 found = rows[marks == len(focus)]
             if len(found):
-                need = max(need, (yield found))
+                risen = yield found
+                need = need if risen is None else max(need, risen)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:

@@ -194,6 +194,15 @@ CONTRACTS = _contracts(
         "collection_date, platform, topics_covered bigint, genres_covered bigint, videos_covered bigint, "
         f"{_METRICS}, built_at",
     ),
+    TableContract(
+        "gold",
+        "youtube_sentiment_day_states",
+        ("collection_date",),
+        "collection_date, platform, topic, genre, video_id, comment_rows bigint, comment_ids bigint, "
+        "positive_comments bigint, neutral_comments bigint, negative_comments bigint, sentiment_score double, "
+        "sentiment_confidence double, negative_probability double, neutral_probability double, "
+        "positive_probability double, comment_like_count bigint, built_at",
+    ),
     TableContract(
         "gold",
         "youtube_comments_daily_topic_metrics",

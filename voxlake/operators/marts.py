@@ -67,23 +67,22 @@ _AVERAGES = (
 ).split()
 
 
-def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
-    """Mart with several distinct counts for unique comment ids.
-
-    One aggregate with several distinct counts would copy every input row once per count. Here the rows are first
-    added up per key and counted values, and only those sums are copied.
-    """
-    values = [name for name in dict.fromkeys(distinct.values()) if name not in keys]
-    sums = df.groupBy(*keys, *values).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("comment_id").alias("_ids"),
+def _sums(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Mergeable state of rows with unique comment ids: counts and sums per combination of values, no averages."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("comment_rows"),
+        F.count("comment_id").alias("comment_ids"),
         *[_label_count(name) for name in ("positive", "neutral", "negative")],
         *[F.sum(name).alias(name) for name in [*_AVERAGES, "comment_like_count"]],
     )
-    mean = lambda name: F.round(F.sum(name) / F.sum("_rows"), 4)
+
+
+def _from_sums(sums: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
+    """Metrics per key from such states, whatever finer values they are kept by; counted values must be among them."""
+    mean = lambda name: F.round(F.sum(name) / F.sum("comment_rows"), 4)
     return sums.groupBy(*keys).agg(
         *[F.count_distinct(name).alias(alias) for alias, name in distinct.items()],
-        F.sum("_ids").alias("comments_count"),
+        F.sum("comment_ids").alias("comments_count"),
         *[F.sum(f"{name}_comments").alias(f"{name}_comments") for name in ("positive", "neutral", "negative")],
         *[mean(name).alias(f"avg_{name}") for name in _AVERAGES],
         F.sum("comment_like_count").alias("total_comment_likes"),
@@ -91,6 +90,16 @@ def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> D
     )
 
 
+def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
+    """Mart with several distinct counts for unique comment ids.
+
+    One aggregate with several distinct counts would copy every input row once per count. Here the rows are first
+    added up per key and counted values, and only those sums are copied.
+    """
+    values = [name for name in dict.fromkeys(distinct.values()) if name not in keys]
+    return _from_sums(_sums(df, [*keys, *values]), keys, distinct)
+
+
 def with_distincts(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column], distinct: dict[str, str]) -> DataFrame:
     """Group by keys that are not null; ``distinct`` maps result names to columns whose values are counted.
 
@@ -127,6 +136,10 @@ def _mart(
     else:
         extra = [F.count_distinct(name).alias(alias) for alias, name in counted.items()]
         out = keyed.groupBy(*keys).agg(*extra, *metric_columns(unique_ids))
+    return _finished(out, built_at, ratios)
+
+
+def _finished(out: DataFrame, built_at: str | None, ratios: bool = True) -> DataFrame:
     if ratios:
         out = out.withColumns(
             {
@@ -167,6 +180,49 @@ def overview_kpis(scored: DataFrame, unique_ids: bool = False, built_at: str | N
     return _mart(prepare_scored(scored), ["collection_date", "platform"], counted, unique_ids, built_at)
 
 
+STATE_VALUES = ("collection_date", "platform", "topic", "genre", "video_id")
+
+
+def day_states(scored: DataFrame, unique_ids: bool = True, built_at: str | None = None) -> DataFrame:
+    """Sums per day, platform, topic, genre and video of comments with unique ids.
+
+    Marts over any span of days, with their distinct counts, follow from these without reading comments again (see
+    :func:`from_states`): a table as large as its days have videos.
+    """
+    if not unique_ids:
+        raise ValueError("states need unique comment ids: merged counts could not tell repeats")
+    out = _sums(prepare_scored(scored), STATE_VALUES)
+    return out if built_at is None else out.withColumn("built_at", F.lit(built_at))
+
+
+#: Marts that states of days give: keys and distinct counts.
+STATE_MARTS = {
+    "daily_summary": (("collection_date", "topic", "genre"), {}),
+    "topic_summary": (("topic", "genre"), {"collection_dates_seen": "collection_date", **_VIDEOS}),
+    "daily_trend": (("collection_date", "topic", "genre"), _VIDEOS),
+    "overview_kpis": (("collection_date", "platform"), {"topics_covered": "topic", "genres_covered": "genre", **_VIDEOS}),
+}
+
+
+def from_states(states: DataFrame, mart: str, built_at: str | None = None) -> DataFrame:
+    """One of ``STATE_MARTS`` from the states of days; the same rows as from the comments."""
+    keys, counted = STATE_MARTS[mart]
+    keyed = states
+    for key in keys:
+        keyed = keyed.filter(F.col(key).isNotNull())
+    return _finished(_from_sums(keyed, keys, counted), built_at)
+
+
+def period_summary(states: DataFrame, unit: str = "month", built_at: str | None = None) -> DataFrame:
+    """Metrics per calendar ``unit`` (month, week, quarter, year), topic and genre, with the days and videos seen."""
+    start = F.to_date(F.date_trunc(unit, as_date(states, "collection_date").cast("timestamp")))
+    keyed = states.withColumn("period_start", F.date_format(start, "yyyy-MM-dd"))
+    keys = ["period_start", "topic", "genre"]
+    for key in keys:
+        keyed = keyed.filter(F.col(key).isNotNull())
+    return _finished(_from_sums(keyed, keys, {"collection_dates_seen": "collection_date", **_VIDEOS}), built_at)
+
+
 def comment_keywords(df: DataFrame, columns: Sequence[str | Column], stop_words: Sequence[str]) -> DataFrame:
     """One row per comment row and distinct keyword; only the named columns travel along."""
     words = F.explode(F.array_distinct(word_runs(F.col("comment_text")))).alias("keyword")

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from voxlake.contracts import CONTRACTS
 from voxlake.functions.columns import as_date
 from voxlake.operators import bronze, forecast, marts, planning, runs, scoring, silver
-from voxlake.session import staged
+from voxlake.plans import changes
+from voxlake.session import discard, staged
+from voxlake.sinks import buckets
 from voxlake.sinks.runlogs import collection_run_log, daily_run_log, historical_run_log
 from voxlake.sinks.tables import append, write_contract
 from voxlake.sinks.upsert import PRESENT, field_by_field, merge_rows, upsertable
@@ -35,12 +37,17 @@ SENTIMENT_MARTS = {
     "gold.youtube_sentiment_daily_summary": marts.daily_summary,
     "gold.youtube_sentiment_video_summary": marts.video_summary,
 }
+STATES = "gold.youtube_sentiment_day_states"
 DESCRIPTIVE_MARTS = {
-    "gold.youtube_sentiment_topic_summary": marts.topic_summary,
-    "gold.youtube_sentiment_daily_trend": marts.daily_trend,
+    STATES: marts.day_states,
     "gold.youtube_sentiment_weekday_hour_engagement": marts.weekday_hour,
     "gold.youtube_sentiment_keyword_frequency": marts.keyword_frequency,
-    "gold.youtube_sentiment_overview_kpis": marts.overview_kpis,
+}
+#: Marts that follow from the states of days, with no further scan of the comments.
+MARTS_FROM_STATES = {
+    "gold.youtube_sentiment_topic_summary": "topic_summary",
+    "gold.youtube_sentiment_daily_trend": "daily_trend",
+    "gold.youtube_sentiment_overview_kpis": "overview_kpis",
 }
 
 
@@ -60,6 +67,25 @@ def _rows(seen: Observation, metric: str = "rows") -> int:
     return int(seen.get.get(metric) or 0)
 
 
+def _load_daily(
+    spark: SparkSession, root: str, records: DataFrame, manifests: DataFrame, plan: DataFrame | None, at: str, fmt: str
+) -> tuple[dict[str, Any], DataFrame]:
+    """Append what is new to the daily bronze table and log it; also gives the new rows, a staged frame."""
+    contract = CONTRACTS[DAILY]
+    rows = bronze.records_to_bronze(records, manifests, plan, at)
+    target = read_if_exists(spark, contract.path(root), fmt, contract.schema if fmt == "parquet" else None)
+    fresh = staged(bronze.missing_from(rows, target), "new-rows")
+    append(fresh, contract.path(root), contract.partition_by, fmt)
+    log = daily_run_log(manifests, fresh, at, root)
+    runs_path = write_contract(log, "bronze.daily_ingestion_runs", root, "append", fmt, refuse_empty=False)
+    out = {
+        "comments_records_written": fresh.count(),
+        "comments_table_path": contract.path(root),
+        "runs_table_path": runs_path,
+    }
+    return out, fresh
+
+
 def bronze_daily(
     spark: SparkSession,
     root: str,
@@ -74,19 +100,9 @@ def bronze_daily(
     Rows whose key is in the table already are left out, so repeating a manifest adds nothing, and the run rows say so.
     What is new is a table before it is appended: the run rows count the same rows, and the input is evaluated once.
     """
-    at = at or now_iso()
-    contract = CONTRACTS[DAILY]
-    rows = bronze.records_to_bronze(records, manifests, plan, at)
-    target = read_if_exists(spark, contract.path(root), fmt, contract.schema if fmt == "parquet" else None)
-    fresh = staged(bronze.missing_from(rows, target), "new-rows")
-    append(fresh, contract.path(root), contract.partition_by, fmt)
-    log = daily_run_log(manifests, fresh, at, root)
-    runs_path = write_contract(log, "bronze.daily_ingestion_runs", root, "append", fmt, refuse_empty=False)
-    return {
-        "comments_records_written": fresh.count(),
-        "comments_table_path": contract.path(root),
-        "runs_table_path": runs_path,
-    }
+    out, fresh = _load_daily(spark, root, records, manifests, plan, at or now_iso(), fmt)
+    discard(fresh)
+    return out
 
 
 def bronze_collection(
@@ -147,16 +163,17 @@ def backfill(
     spark: SparkSession,
     sources: Sequence[DataFrame],
     store_path: str,
-    new_store_path: str,
+    new_store_path: str | None = None,
     limit_records: int | None = None,
     dry_run: bool = False,
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, Any]:
     """Documents of all sources into the store by one keyed upsert over their union.
 
-    Each source has ``source_type``, ``source_path`` and ``position``. The merged store goes to a new path; the
-    caller points readers there (a table that is being read is never overwritten). Returns the per-source summary
-    and, unless ``dry_run``, the upsert counts.
+    Each source has ``source_type``, ``source_path`` and ``position``. The store is one of hash buckets
+    (``voxlake.sinks.buckets``), of which those with a changed document are rewritten. With ``new_store_path`` it is a
+    plain table instead, and the merged whole goes to that path; the caller points readers there. Returns the per-source
+    summary and, unless ``dry_run``, the upsert counts.
     """
     limited = [limit_per_source(df, limit_records) for df in sources]
     marked = [df.withColumn(PRESENT, F.array(*map(F.lit, df.columns))) for df in limited]
@@ -172,6 +189,10 @@ def backfill(
         order: list[Column] = [F.col("mongo_loaded_at").desc_nulls_last(), F.col("position").desc_nulls_last()]
         incoming = upsertable(given.drop(PRESENT), order)
     incoming = incoming.drop(*[c for c in tags if c in documents.columns])
+    if new_store_path is None:
+        counts = buckets.upsert(spark, store_path, incoming)
+        out["counts"] = {"input_documents": _rows(read), **counts}
+        return out
     existing = read_if_exists(spark, store_path, fmt)
     if existing is None:
         existing = spark.createDataFrame([], incoming.drop(PRESENT).schema)
@@ -199,6 +220,7 @@ def build_silver(
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, Any]:
     """Daily and streamed bronze comments to the silver table; both counts are taken during the one write."""
+    changes.drop_index(spark, root)
     if source is None:
         inputs = {
             CONTRACTS[key].name: read_if_exists(
@@ -226,36 +248,29 @@ def score_silver(
     keyed by comment, so nothing shuffles."""
     comments = read_contract(spark, root, SILVER, fmt)
     if dates is not None:
-        comments = comments.filter(_on(as_date(comments, "collection_date").cast("string"), dates))
+        comments = comments.filter(changes.on_days(as_date(comments, "collection_date"), dates))
     scored = scoring.enrich_sentiment(
         comments, factory, model_name, processed_at=at or now_iso(), deduplicated=True
     )
-    return write_contract(
-        scored, SCORED, root, "overwrite", fmt, refuse_empty=False, only_touched_partitions=dates is not None
-    )
-
-
-def _on(day: Column, dates: Sequence[str | None]) -> Column:
-    """Whether a day is one of the dates, null for null."""
-    known = day.isin([d for d in dates if d is not None])
-    return F.coalesce(known, F.lit(False)) | day.isNull() if None in dates else F.coalesce(known, F.lit(False))
+    if dates is not None:
+        return changes.replace_days(spark, scored, SCORED, root, dates, fmt)
+    return write_contract(scored, SCORED, root, "overwrite", fmt, refuse_empty=False)
 
 
 def _build_marts(
     spark: SparkSession, root: str, builders: dict, at: str | None, dates: Sequence[str | None] | None, fmt: str
 ) -> dict[str, str]:
+    """Marts by date from the scored comments, whole or for some dates."""
     scored = read_contract(spark, root, SCORED, fmt)
     if scored.isEmpty():
         raise ValueError(f"{SCORED} is empty")
+    at = at or now_iso()
     out = {}
     for key, build in builders.items():
-        by_date = CONTRACTS[key].partition_by == ("collection_date",)
-        touched = dates is not None and by_date
-        source = scored.filter(_on(F.col("collection_date").cast("string"), dates)) if touched else scored
-        mart = build(source, unique_ids=True, built_at=at or now_iso())
-        out[key] = write_contract(
-            mart, key, root, "overwrite", fmt, refuse_empty=False, only_touched_partitions=touched
-        )
+        if dates is not None:
+            out[key] = changes.apply_to_mart(spark, root, key, build, dates, at, fmt)
+        else:
+            out[key] = write_contract(build(scored, unique_ids=True, built_at=at), key, root, "overwrite", fmt, refuse_empty=False)
     return out
 
 
@@ -269,7 +284,22 @@ def sentiment_gold(
 def descriptive_gold(
     spark: SparkSession, root: str, at: str | None = None, dates: Sequence[str] | None = None, fmt: str = DEFAULT_FORMAT
 ) -> dict[str, str]:
-    return _build_marts(spark, root, DESCRIPTIVE_MARTS, at, dates, fmt)
+    """States of days, hours and keywords from the comments; trend, overview and topics from the states.
+
+    With ``dates``, tables by date are read and replaced for these alone; the topics follow from all states of days.
+    """
+    if dates is not None and read_if_exists(spark, CONTRACTS[STATES].path(root), fmt) is None:
+        dates = None
+    at = at or now_iso()
+    out = _build_marts(spark, root, DESCRIPTIVE_MARTS, at, dates, fmt)
+    states = read_contract(spark, root, STATES, fmt)
+    for key, mart in MARTS_FROM_STATES.items():
+        if dates is not None and "collection_date" in CONTRACTS[key].partition_by:
+            near = states.filter(changes.on_days(F.col("collection_date"), dates))
+            out[key] = changes.replace_days(spark, marts.from_states(near, mart, at), key, root, dates, fmt)
+        else:
+            out[key] = write_contract(marts.from_states(states, mart, at), key, root, "overwrite", fmt, refuse_empty=False)
+    return out
 
 
 def predictive_gold(
@@ -362,36 +392,30 @@ def custom_query_refresh(
 ) -> dict[str, Any]:
     """Add or update a custom query, load its records, and refresh only what they touch.
 
-    Silver is rebuilt as a whole (a new version of a comment may move it to another date); scores and the dated
-    marts are recomputed for the collection dates of the new rows and the dates their comments left. A date that
-    lost its last comment leaves no partition to replace, so then everything is recomputed.
+    New rows that change silver name the dates that lose or gain a comment; silver, scores and the tables by date are
+    read and written for these dates alone, topics and forecasts follow from tables of days. Where silver or the scores
+    are not there yet, or the tables by date are not, everything is built.
     """
     at = at or now_iso()
     upserted = planning.upsert_queries(registry, query, aliases)
     plan = upserted.filter(F.col("action").isNotNull())
-    had_scores = read_if_exists(spark, CONTRACTS[SCORED].path(root), fmt) is not None
-    new_ids = records.select(F.trim("comment_id").alias("comment_id")).distinct()
-
-    def dates_of(key: str) -> set[str]:
-        """Collection dates of the new comments (a handful of days), as one table has them."""
-        rows = read_contract(spark, root, key, fmt).join(new_ids, "comment_id", "left_semi")
-        return {row["d"] for row in rows.select(F.col("collection_date").cast("string").alias("d")).distinct().collect()}
-
-    left = dates_of(SCORED) if had_scores else set()
-    loaded = bronze_daily(spark, root, records, manifests, plan, at, fmt)
-    silver_out = build_silver(spark, root, fmt=fmt)
-    touched = sorted(left | dates_of(SILVER), key=lambda day: (day is not None, day))
-    remaining = read_contract(spark, root, SILVER, fmt).select(F.col("collection_date").cast("string").alias("d"))
-    kept = {row["d"] for row in remaining.filter(_on(F.col("d"), touched)).distinct().collect()}
-    part = touched if had_scores and kept == set(touched) else None
-    score_silver(spark, root, at, dates=part, fmt=fmt)
-    return {
-        "registry": upserted,
-        "bronze": loaded,
-        "silver": silver_out,
-        "dates": touched,
-        "sentiment": sentiment_gold(spark, root, at, part, fmt),
-        "descriptive": descriptive_gold(spark, root, at, part, fmt),
-        "predictive": predictive_gold(spark, root, fmt=fmt),
-        "overview": overview_gold(spark, root, fmt),
-    }
+    there = all(read_if_exists(spark, CONTRACTS[key].path(root), fmt) is not None for key in (SILVER, SCORED, STATES))
+    loaded, fresh = _load_daily(spark, root, records, manifests, plan, at, fmt)
+    if there:
+        done = changes.apply_to_silver(spark, root, silver.union_bronze({CONTRACTS[DAILY].name: fresh}), fmt=fmt)
+        days = done.pop("days")
+        silver_out = {**done, "source_rows": loaded["comments_records_written"]}
+    else:
+        silver_out = build_silver(spark, root, fmt=fmt)
+        found = read_contract(spark, root, SILVER, fmt).select(F.col("collection_date").cast("string")).distinct().collect()
+        days = changes.in_order(r[0] for r in found)  # days, not comments
+    discard(fresh)
+    out = {"registry": upserted, "bronze": loaded, "silver": silver_out, "dates": days}
+    if days:
+        part = days if there else None
+        score_silver(spark, root, at, dates=part, fmt=fmt)
+        out["sentiment"] = sentiment_gold(spark, root, at, part, fmt)
+        out["descriptive"] = descriptive_gold(spark, root, at, part, fmt)
+        out["predictive"] = changes.apply_to_metrics(spark, root, days, fmt) if there else predictive_gold(spark, root, fmt=fmt)
+    out["overview"] = overview_gold(spark, root, fmt)
+    return out

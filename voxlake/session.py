@@ -63,3 +63,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in any store that Spark reaches; an absent one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files behind staged frames that nothing reads any more."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            folder = file.rsplit("/", 2)[0]
+            if folder.rsplit("/", 1)[-1].startswith("voxlake-"):
+                delete_path(df.sparkSession, folder)

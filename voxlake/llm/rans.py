@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ LANES = 1024
 BLOCK_IDS = 1 << 18
 #: Steps between checkpoints.
 CHECKPOINT_STEPS = 128
+#: Bytes of the texts that are tokenised at once.
+RUN_BYTES = 2 << 20
 _LOW = np.uint64(1 << 31)
 _HEADER = np.dtype([("magic", "S4"), ("lanes", "<u4"), ("ids", "<u8"), ("every", "<u4"), ("checkpoints", "<u4"), ("words", "<u8"), ("crc", "<u4"), ("table_crc", "<u4")])
 _MAGIC = b"ILR1"
@@ -180,9 +183,13 @@ def units(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file; ids of units are remembered in two generations."""
+    """Ids of texts by a tokenizer file; the ids of units are remembered in flat arrays.
 
-    REMEMBERED = 300_000
+    A unit is looked up by its hash in two tables of slots, which tell its entry; an entry of another hash, length or
+    first byte does not count. What is not found is encoded in one batch. A full memory is emptied.
+    """
+
+    REMEMBERED, SLOTS = 1 << 20, 1 << 22
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -191,24 +198,70 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.recent: dict[bytes, tuple[int, ...]] = {}
-        self.older: dict[bytes, tuple[int, ...]] = {}
+        self._empty()
+
+    def _empty(self) -> None:
+        self.entries = self.filled = 0
+        self.hashes = np.zeros(1024, np.uint64)
+        self.marks = np.zeros(1024, np.uint64)
+        self.begins = np.zeros(1024, np.int64)
+        self.sizes = np.zeros(1024, np.int64)
+        self.ids = np.zeros(4096, np.uint32)
+        self.slots = np.zeros((2, self.SLOTS), np.int32)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def unit(self, raw: bytes) -> tuple[int, ...]:
-        ids = self.older.get(raw)
-        if ids is None:
-            if raw.isalpha() and raw.isascii():
-                ids = tuple([t.id for t in self.tokenizer.model.tokenize(raw.decode().lower())])
-            else:
-                ids = tuple(self.whole(raw.decode("utf-8")))
-        if len(raw) <= 64:
-            if len(self.recent) >= self.REMEMBERED:
-                self.older, self.recent = self.recent, {}
-            self.recent[raw] = ids
-        return ids
+    def _slots(self, hashes: np.ndarray) -> list[np.ndarray]:
+        mask = np.uint64(self.SLOTS - 1)
+        return [(hashes & mask).astype(np.int64), (hashes >> np.uint64(42)).astype(np.int64)]
+
+    def _known(self, hashes: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """The entry of each unit, or -1."""
+        out = np.full(len(hashes), -1, np.int64)
+        open_ = np.arange(len(hashes))
+        for table, slot in zip(self.slots, self._slots(hashes), strict=True):
+            entry = table[slot[open_]].astype(np.int64)
+            good = (self.hashes[entry] == hashes[open_]) & (self.marks[entry] == marks[open_]) & (entry < self.entries)
+            out[open_[good]] = entry[good]
+            open_ = open_[~good]
+        return out
+
+    def _learn(self, hashes: np.ndarray, marks: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+        """New entries with these ids."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        n, total = len(lists), int(sizes.sum())
+        first, end = self.entries, self.entries + n
+        for name in ("hashes", "marks", "begins", "sizes"):
+            have = getattr(self, name)
+            if end > len(have):
+                setattr(self, name, np.resize(have, max(end, 2 * len(have))))
+        if self.filled + total > len(self.ids):
+            self.ids = np.resize(self.ids, max(self.filled + total, 2 * len(self.ids)))
+        self.hashes[first:end], self.marks[first:end], self.sizes[first:end] = hashes, marks, sizes
+        self.begins[first:end] = self.filled + np.cumsum(sizes) - sizes
+        self.ids[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
+        self.entries, self.filled = end, self.filled + total
+        entry = np.arange(first, end)
+        for table, slot in zip(self.slots, self._slots(hashes), strict=True):
+            table[slot] = entry
+        return entry
+
+    def _entries(self, data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        found = self._known(hashes, marks)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            # Units of one hash, length and first byte are one unit.
+            order = np.lexsort((marks[missing], hashes[missing]))
+            by = missing[order]
+            new = np.ones(len(by), bool)
+            new[1:] = (hashes[by[1:]] != hashes[by[:-1]]) | (marks[by[1:]] != marks[by[:-1]])
+            sample = by[new]
+            parts = [data[a:b].decode("utf-8") for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
+            encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+            entry = self._learn(hashes[sample], marks[sample], [e.ids for e in encoded])
+            found[by] = entry[np.cumsum(new) - 1]
+        return found
 
     def rows(self, raw: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids, an end id behind those of each row, and the number of ids of each row."""
@@ -218,22 +271,13 @@ class Encoder:
             return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
         starts, ends, first = units(raw, bounds)
         hashes = hashed_words(raw, starts, ends)
-        _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-        length = ends - starts
-        alike = (length == length[sample][which]) & (raw[starts] == raw[starts[sample]][which])
-        if not alike.all():  # two units of one hash: the row runs apart
-            return self._apart(data, bounds, end_id)
-        get, unit = self.recent.get, self.unit
-        found = []
-        for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True):
-            key = data[a:b]
-            found.append(get(key) or unit(key))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
-        each = sizes[which]
+        marks = ((ends - starts).astype(np.uint64) << np.uint64(8)) | raw[starts] if len(starts) else np.zeros(0, np.uint64)
+        if self.entries > self.REMEMBERED or self.filled > 8 * self.REMEMBERED:
+            self._empty()
+        which = self._entries(data, starts, ends, hashes, marks)
+        each = self.sizes[which]
         done = np.concatenate([[0], np.cumsum(each)])
-        tokens = flat[np.repeat(begin[which] - done[:-1], each) + np.arange(done[-1])]
+        tokens = self.ids[np.repeat(self.begins[which] - done[:-1], each) + np.arange(done[-1])]
         counts = np.diff(done[first]) + 1
         out = np.full(len(tokens) + len(counts), end_id, np.uint32)
         is_token = np.ones(len(out), bool)
@@ -241,10 +285,6 @@ class Encoder:
         out[is_token] = tokens
         return out, counts
 
-    def _apart(self, data: bytes, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        lists = [[*self.whole(data[a:b].decode("utf-8")), end_id] for a, b in zip(bounds, bounds[1:], strict=False)]
-        return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -265,7 +305,7 @@ def tokenised(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard, before = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at, end, raw, bounds in texts(batch.column(1)):
+            for at, end, raw, bounds in texts(batch.column(1), RUN_BYTES):
                 ids, counts = words.rows(raw, bounds, end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)])
                 width = 2 if words.small else 4

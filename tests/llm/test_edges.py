@@ -108,6 +108,16 @@ def test_near_stage_keeps_one_of_equal_rows(spark, docs):
     assert out.where("doc_id is null").count() == 2
 
 
+def test_near_stage_keeps_every_text_of_an_id(spark):
+    """A, A, B, B under one id: one A and one B stay, and their classes are told apart."""
+    a, b = "the cat and the dog sat on the warm mat in the sun", "a second text under one id, with other words in it"
+    docs = spark.createDataFrame([(1, a, "x"), (1, a, "y"), (1, b, "x"), (1, b, "y"), (2, a, "x")], "doc_id long, text string, source string")
+    out = corpus_pipeline.without_near_copies(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(1, a), (1, b)])
+    told = near_dups.classes(docs)
+    assert told.select("class_id", "class_tie").distinct().count() == 2 and told.count() == 5
+
+
 def test_all_mixed_rows_of_one_id_share_their_copies(spark, docs):
     taken = mixing.mix(docs.where("doc_id = 1"), cap=3.0, weights=(1,))
     again = mixing.resample(docs.where("doc_id = 1"), weights=(1,))

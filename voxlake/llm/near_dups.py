@@ -14,8 +14,8 @@ probability Jaccard or plain Jaccard likeness is ``THRESHOLD`` or more. Classes
 pairs within a component are not compared, nor given out.
 
 Cases: null and empty texts, and rows without an id, have no terms: each is its own class; equal texts are one class,
-whatever their ids; the class id is the smallest document id of the class; an empty table gives an empty one. Extra
-columns are not read.
+whatever their ids; the class id is the smallest document id of the class, and where ids repeat the hash of the text tells
+classes of one id apart; an empty table gives an empty one. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -249,9 +249,10 @@ def _rooted(df: DataFrame, node: str, roots: DataFrame, name: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, tie, class_id, first``: the class of every row, and whether the row is the one that stands for it.
+    """``doc_id, tie, class_id, class_tie, first``: the class of every row, and whether the row stands for it.
 
-    Rows of one class that share the class id and a text all have ``first``.
+    A class is told by the id and the hash of the text of its first row; where ids do not repeat, by the id alone. Rows
+    of one class that share both all have ``first``.
     """
     marks = staged(sketches(docs, id_col, text_col), "sketches")
     filled = marks.where("k1 is not null and doc is not null")
@@ -276,8 +277,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rooted = _rooted(filled.select("doc", "tie", F.struct("k1", "k2").alias("node")), "node", roots, "root")
     heads = rooted.groupBy("root").agg(F.min(F.struct("doc", "tie")).alias("head")).withColumnRenamed("root", "of")
     found = rooted.join(heads, F.col("root") == F.col("of"))
-    found = found.select(F.col("doc").alias("doc_id"), "tie", F.col("head.doc").alias("class_id"), (F.struct("doc", "tie") == F.col("head")).alias("first"))
-    alone = marks.where("k1 is null or doc is null").select(F.col("doc").alias("doc_id"), "tie", F.col("doc").alias("class_id"), F.lit(True).alias("first"))
+    found = found.select(F.col("doc").alias("doc_id"), "tie", F.col("head.doc").alias("class_id"), F.col("head.tie").alias("class_tie"), (F.struct("doc", "tie") == F.col("head")).alias("first"))
+    alone = marks.where("k1 is null or doc is null").select(F.col("doc").alias("doc_id"), "tie", F.col("doc").alias("class_id"), F.col("tie").alias("class_tie"), F.lit(True).alias("first"))
     return found.unionByName(alone)
 
 
@@ -351,11 +352,11 @@ def joining_pairs(found: list[tuple[np.ndarray, np.ndarray]], roots: list, thres
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class; of equal rows, one."""
+    """``docs`` with one row of each class; of rows equal in id and text, one. Rows without an id all stay."""
     found = staged(classes(docs, id_col=id_col, text_col=text_col, threshold=threshold), "classes").where("first")
     key, tie, n = fresh(docs, "kept_doc"), fresh(docs, "kept_tie"), fresh(docs, "kept_rows")
     kept = found.groupBy(F.col("doc_id").alias(key), F.col("tie").alias(tie)).agg(F.count(F.lit(1)).alias(n))
     joined = docs.join(kept, docs[id_col].eqNullSafe(F.col(key)) & (F.xxhash64(docs[text_col]) == F.col(tie)))
     once = joined.where((F.col(n) == 1) | F.col(key).isNull()).select(*[docs[c] for c in docs.columns])
-    several = joined.where((F.col(n) > 1) & F.col(key).isNotNull()).select(*[docs[c] for c in docs.columns]).dropDuplicates([id_col])
-    return once.unionByName(several)
+    several = joined.where((F.col(n) > 1) & F.col(key).isNotNull()).select(*[docs[c] for c in docs.columns], F.col(tie))
+    return once.unionByName(several.dropDuplicates([id_col, tie]).drop(tie))

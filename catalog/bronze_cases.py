@@ -576,7 +576,8 @@ _UPSERT_SQL = """SELECT coalesce(s.comment_id, f.comment_id) AS comment_id,
 view("upserted", _UPSERT_SQL, "eng")
 
 
-def _merged(spark, d):
+def upsert_sides(spark, d):
+    """Stored rows, fresh rows, and what the upsert takes of these with blanks and older copies among them."""
     rows = engagement(spark, d).withColumns(
         {"run_id": F.lit("r"), "query_id": F.col("genre"), "likes": F.col("comment_like_count")}
     )
@@ -588,6 +589,11 @@ def _merged(spark, d):
     twice = fresh.withColumns({"comment_published_at": F.lit(None).cast("timestamp_ntz"), "likes": F.lit(-1).cast("bigint")})
     order = [F.col("comment_published_at").desc_nulls_last()]
     incoming = upsert.upsertable(fresh.union(blanks).union(twice), order).drop("comment_published_at")
+    return stored, fresh, incoming
+
+
+def _merged(spark, d):
+    stored, fresh, incoming = upsert_sides(spark, d)
     return stored, fresh, upsert.merge_rows(stored, incoming)
 
 

@@ -81,12 +81,9 @@ def latest_changes(bronze: DataFrame, keep: int | None = None) -> DataFrame:
     The query needs the state store of :func:`start`.
     """
     rows = has_required_fields(curate(bronze))
-    plain = _as_numbers(rows)
-    ranked = _ranked(rows).select(*_RANK, F.struct(*[F.col(n) for n in rows.columns]).alias("row"))
-    flat = _as_numbers(ranked.select(*_RANK, "row.*"))
-    out = flat.groupBy(KEY).transformWithState(
-        _processor(plain.columns, None if keep is None else 1000 * keep), plain.schema, "Update", "None" if keep is None else "ProcessingTime"
-    )
+    processor = _processor(rows.columns, None if keep is None else 1000 * keep)
+    keyed = _as_numbers(_ranked(rows)).groupBy(KEY)
+    out = keyed.transformWithState(processor, _as_numbers(rows).schema, "Update", "None" if keep is None else "ProcessingTime")
     return _restored(out, rows)
 
 

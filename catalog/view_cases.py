@@ -320,6 +320,26 @@ def _evidence(spark, d):
     return rounded(evidence(spark, d))
 
 
+@case(
+    "video_evidence_per_video",
+    sql(
+        """SELECT m.collection_date, m.topic, m.genre, m.video_id, m.comments_count, c.matched_comments, c.total_comment_likes,
+    round(c.total_comment_likes / c.matched_comments, 6) AS avg_likes_per_comment
+  FROM vmart m JOIN (SELECT video_id, count(*) AS matched_comments, CAST(sum(comment_like_count) AS BIGINT) AS total_comment_likes
+    FROM com WHERE video_id IS NOT NULL GROUP BY video_id) c ON m.video_id = c.video_id""",
+        "vmart",
+        "com",
+    ),
+)
+def _evidence_per_video(spark, d):
+    """As many rows as the mart has, however many groups the comments of a video fall into."""
+    rows = comments(spark, d)
+    mart = marts.video_summary(rows).drop("total_comment_likes", "avg_comment_likes")
+    out = descriptive.video_evidence(rows, mart, per_video=True)
+    names = "collection_date topic genre video_id comments_count matched_comments total_comment_likes avg_likes_per_comment"
+    return rounded(out.select(*names.split()))
+
+
 _EVIDENCE_TIES = "total_comment_likes DESC, matched_comments DESC, video_id, collection_date, topic, genre"
 for _positive, _order in ((True, "DESC"), (False, "ASC")):
     case(

@@ -18,6 +18,7 @@ from voxlake.functions.columns import (
 )
 from voxlake.functions.numeric import divide, weighted_avg
 from voxlake.functions.text import display_text, truncate_text
+from voxlake.operators.counting import counted, row_counts
 
 # Columns in which like and keyword counts may come.
 LIKE_NAMES = ("like_count", "comment_like_count")
@@ -139,13 +140,30 @@ def video_engagement(comments: DataFrame) -> DataFrame:
     )
 
 
-def video_evidence(comments: DataFrame, videos: DataFrame) -> DataFrame:
+def _per_video(found: DataFrame, key: str) -> DataFrame:
+    """Comment groups of a video as one row: counts and likes added up, names those of its largest group."""
+    names = [c for c in present(found, _VIDEO_KEYS) if c != key]
+    size = F.struct("matched_comments", *names)
+    return (
+        found.groupBy(key)
+        .agg(
+            *[F.max_by(name, size).alias(name) for name in names],
+            *[F.sum(name).alias(name) for name in ("matched_comments", "total_comment_likes")],
+        )
+        .withColumn("avg_likes_per_comment", divide(F.col("total_comment_likes"), F.col("matched_comments")))
+    )
+
+
+def video_evidence(comments: DataFrame, videos: DataFrame, per_video: bool = False) -> DataFrame:
     """Video mart rows with the comment aggregates of the same video; mart values win, gaps are filled.
 
-    A video whose comments fall into several groups gives one row per group, as the mart's reader expects. Where the
-    mart is empty, the comment groups themselves are the rows.
+    A video whose comments fall into several groups (of topic, genre or title) gives one row per group, as the mart's
+    reader expects; with ``per_video`` the groups of a video are added up first, and mart rows keep their number. Where
+    the mart is empty, the comment groups themselves are the rows.
     """
     found = video_engagement(comments)
+    if per_video:
+        found = _per_video(found, "video_id" if "video_id" in found.columns else "video_title")
     if videos.isEmpty():
         videos = found.withColumn("comments_count", F.col("matched_comments"))
         scores = [F.lit(0.0).alias(name) for name in ("avg_sentiment_score", "positive_ratio", "negative_ratio")]
@@ -269,30 +287,32 @@ def descriptive_kpis(comments: DataFrame, engagement: DataFrame) -> DataFrame:
 
 def header_kpis(comments: DataFrame, topics: DataFrame | None = None) -> DataFrame:
     """One row of headline numbers; from the topic mart when no comment is selected."""
-    label = lambda name: F.coalesce(
-        F.avg(F.when(F.col("sentiment_label") == name, 1.0).otherwise(0.0)), F.lit(0.0)
-    )
-    from_comments = comments.agg(
-        F.coalesce(F.avg("sentiment_score"), F.lit(0.0)).alias("avg_sentiment"),
-        label("positive").alias("positive_ratio"),
-        label("negative").alias("negative_ratio"),
+    is_label = lambda name: F.coalesce(F.col("sentiment_label") == name, F.lit(False))
+    sums = row_counts(rows=F.lit(True), scored=F.col("sentiment_score").isNotNull(), positive=is_label("positive"), negative=is_label("negative"))
+    distinct = {"total_comments": "comment_id", "videos_covered": "video_id", "topics_covered": "topic", "genres_covered": "genre"}
+    share = lambda part, rows: F.coalesce(F.col(part) / F.nullif(F.col(rows), F.lit(0)), F.lit(0.0))
+    from_comments = counted(comments, [], distinct, {**sums, "score": F.col("sentiment_score")}).select(
+        share("score", "scored").alias("avg_sentiment"),
+        share("positive", "rows").alias("positive_ratio"),
+        share("negative", "rows").alias("negative_ratio"),
+        *("total_comments", "topics_covered", "genres_covered", "videos_covered"),
     )
-    # A scalar each: several distinct counts in one aggregate would copy every row once per count.
-    counted = {"total_comments": "comment_id", "topics_covered": "topic", "genres_covered": "genre", "videos_covered": "video_id"}
-    for name, column in counted.items():
-        from_comments = from_comments.withColumn(name, comments.agg(F.count_distinct(column)).scalar())
     if topics is None:
         return from_comments
     zero = lambda column: F.coalesce(column, F.lit(0))
-    from_mart = topics.agg(
-        zero(F.sum("comments_count")).cast("bigint").alias("total_comments"),
-        zero(F.avg("avg_sentiment_score")).cast("double").alias("avg_sentiment"),
-        zero(F.avg("positive_ratio")).cast("double").alias("positive_ratio"),
-        zero(F.avg("negative_ratio")).cast("double").alias("negative_ratio"),
-        zero(F.sum("videos_covered")).cast("bigint").alias("videos_covered"),
+    means = ("avg_sentiment_score", "positive_ratio", "negative_ratio")
+    sums = {"comments": F.col("comments_count"), "videos": F.col("videos_covered")}
+    sums |= {name: F.col(name).cast("double") for name in means} | row_counts(**{f"{name}_rows": F.col(name).isNotNull() for name in means})
+    of_topics = counted(topics, [], {"topics_covered": "topic", "genres_covered": "genre"}, sums)
+    from_mart = of_topics.select(
+        share("avg_sentiment_score", "avg_sentiment_score_rows").alias("avg_sentiment"),
+        share("positive_ratio", "positive_ratio_rows").alias("positive_ratio"),
+        share("negative_ratio", "negative_ratio_rows").alias("negative_ratio"),
+        zero(F.col("comments")).cast("bigint").alias("total_comments"),
+        "topics_covered",
+        "genres_covered",
+        zero(F.col("videos")).cast("bigint").alias("videos_covered"),
     )
-    for name in ("topic", "genre"):
-        from_mart = from_mart.withColumn(f"{name}s_covered", topics.agg(F.count_distinct(name)).scalar())
     names = from_comments.columns
     both = from_comments.withColumn("_mart", from_mart.select(F.struct(*names).alias("m")).scalar())
     empty = F.col("total_comments") == 0

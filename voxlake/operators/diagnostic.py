@@ -17,6 +17,7 @@ from voxlake.functions.numeric import (
     weighted_avg,
 )
 from voxlake.functions.text import DRIVER_STOP_WORDS, display_text, normalized, shorten
+from voxlake.operators.counting import counted, row_counts
 from voxlake.operators.descriptive import likes
 from voxlake.operators.marts import comment_keywords, distinct_comments, flag_repeats
 
@@ -24,23 +25,27 @@ from voxlake.operators.marts import comment_keywords, distinct_comments, flag_re
 _LIKE_NAMES = ("comment_like_count", "like_count")
 
 
-def _grouped(comments: DataFrame, keys: Sequence[str], extra: Sequence[Column] = (), with_likes: bool = True):
-    """Comment aggregate per key set with unrounded label shares."""
+def _grouped(
+    comments: DataFrame,
+    keys: Sequence[str],
+    distinct: dict[str, str] | None = None,
+    extra_labels: Sequence[str] = (),
+    with_likes: bool = True,
+) -> DataFrame:
+    """Comment aggregate per key set with unrounded label shares, from one pass over the comments."""
     df = comments.withColumn("_likes", likes(comments, _LIKE_NAMES).cast("double"))
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    like_columns = [
-        F.sum("_likes").alias("total_comment_likes"),
-        F.avg("_likes").alias("avg_comment_likes"),
-    ]
-    out = df.groupBy(*keys).agg(
-        F.count_distinct("comment_id").alias("comments_count"),
-        *extra,
-        F.avg("sentiment_score").alias("avg_sentiment_score"),
-        F.count_if(F.col("sentiment_label") == "negative").alias("negative_comments"),
-        F.count_if(F.col("sentiment_label") == "positive").alias("positive_comments"),
+    labels = {f"{name}_comments": F.coalesce(F.col("sentiment_label") == name, F.lit(False)) for name in ("negative", "positive", *extra_labels)}
+    sums = {**row_counts(**labels, _scored=F.col("sentiment_score").isNotNull(), _liked=F.col("_likes").isNotNull())}
+    sums |= {"_score": F.col("sentiment_score"), "total_comment_likes": F.col("_likes")}
+    out = counted(df, keys, {"comments_count": "comment_id", **(distinct or {})}, sums)
+    mean = lambda total, rows: F.col(total) / F.nullif(F.col(rows), F.lit(0))
+    like_columns = ["total_comment_likes", mean("total_comment_likes", "_liked").alias("avg_comment_likes")]
+    out = out.select(
+        *keys, "comments_count", *(distinct or {}), mean("_score", "_scored").alias("avg_sentiment_score"), *labels,
         *(like_columns if with_likes else []),
-    )
+    )
     return out.withColumns(
         {
             f"{name}_ratio": F.col(f"{name}_comments") / safe_denominator(F.col("comments_count"))
@@ -55,11 +60,7 @@ def _display(df: DataFrame) -> DataFrame:
 
 def topic_risk(comments: DataFrame) -> DataFrame:
     """Per topic and genre: counts, mean score, shares, and the load of negative comments."""
-    extra = [
-        F.count_distinct("video_id").alias("videos_covered"),
-        F.count_if(F.col("sentiment_label") == "neutral").alias("neutral_comments"),
-    ]
-    out = _grouped(comments, ["topic", "genre"], extra)
+    out = _grouped(comments, ["topic", "genre"], {"videos_covered": "video_id"}, ["neutral"])
     return _display(out.withColumn("risk_load", F.col("comments_count") * F.col("negative_ratio")))
 
 

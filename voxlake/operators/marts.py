@@ -1,7 +1,7 @@
 """Gold marts over scored comments.
 
-Every mart is one grouped aggregate: narrow projection, partial aggregation before the shuffle, so a topic with a
-third of all comments costs no more than its share of the scan. Distinct counts stay exact. ``unique_ids=True``
+Every mart reads its input once: narrow projection, partial aggregation before the shuffle, so a topic with a third of
+all comments costs no more than its share of the scan. Distinct counts stay exact (see ``operators.counting``). ``unique_ids=True``
 declares that ``comment_id`` is a key of the input (the silver contract guarantees it); counting ids then needs no
 distinct step and most marts shuffle only their partial groups.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from voxlake.functions.columns import as_date, as_timestamp, col_or_null, double_or_zero, first_present, int_or_zero
 from voxlake.functions.numeric import ratio
 from voxlake.functions.text import MART_STOP_WORDS, is_keyword, word_runs
+from voxlake.operators.counting import counted, row_counts
 
 _TEXT = (
     "platform query_id query_text topic genre video_id video_title channel_title comment_id comment_text "
@@ -51,66 +52,55 @@ def _distinct(name: str, unique: bool) -> Column:
     return F.count(name) if unique else F.count_distinct(name)
 
 
+_AVERAGES = (
+    "sentiment_score sentiment_confidence negative_probability neutral_probability positive_probability"
+).split()
+_LABELS = ("positive", "neutral", "negative")
+
+
 def metric_columns(unique_ids: bool = False) -> list[Column]:
     """Aggregates every mart shares."""
     return [
         _distinct("comment_id", unique_ids).alias("comments_count"),
-        *[_label_count(name) for name in ("positive", "neutral", "negative")],
+        *[_label_count(name) for name in _LABELS],
         *[F.round(F.avg(name), 4).alias(f"avg_{name}") for name in _AVERAGES],
         F.sum("comment_like_count").alias("total_comment_likes"),
         F.round(F.avg("comment_like_count"), 4).alias("avg_comment_likes"),
     ]
 
 
-_AVERAGES = (
-    "sentiment_score sentiment_confidence negative_probability neutral_probability positive_probability"
-).split()
+def _row_sums() -> dict[str, Column]:
+    """What a comment row adds to a group: a row, its label, scores and likes."""
+    labels = {f"{name}_comments": F.coalesce(F.col("sentiment_label") == name, F.lit(False)) for name in _LABELS}
+    summed = {name: F.col(name) for name in [*_AVERAGES, "comment_like_count"]}
+    return {"comment_rows": F.lit(1).cast("bigint"), **row_counts(**labels), **summed}
 
 
 def _sums(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Mergeable state of rows with unique comment ids: counts and sums per combination of values, no averages."""
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("comment_rows"),
-        F.count("comment_id").alias("comment_ids"),
-        *[_label_count(name) for name in ("positive", "neutral", "negative")],
-        *[F.sum(name).alias(name) for name in [*_AVERAGES, "comment_like_count"]],
-    )
-
-
-def _from_sums(sums: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
-    """Metrics per key from such states, whatever finer values they are kept by; counted values must be among them."""
-    mean = lambda name: F.round(F.sum(name) / F.sum("comment_rows"), 4)
-    return sums.groupBy(*keys).agg(
-        *[F.count_distinct(name).alias(alias) for alias, name in distinct.items()],
-        F.sum("comment_ids").alias("comments_count"),
-        *[F.sum(f"{name}_comments").alias(f"{name}_comments") for name in ("positive", "neutral", "negative")],
+    ids = row_counts(comment_ids=F.col("comment_id").isNotNull())
+    return counted(df, by, {}, {**_row_sums(), **ids})
+
+
+def _metrics(summed: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The columns of a mart from counts and sums per key."""
+    mean = lambda name: F.round(F.col(name) / F.col("comment_rows"), 4)
+    return summed.select(
+        *keys,
+        *names,
+        "comments_count",
+        *[f"{name}_comments" for name in _LABELS],
         *[mean(name).alias(f"avg_{name}") for name in _AVERAGES],
-        F.sum("comment_like_count").alias("total_comment_likes"),
+        F.col("comment_like_count").alias("total_comment_likes"),
         mean("comment_like_count").alias("avg_comment_likes"),
     )
 
 
-def _two_step(df: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
-    """Mart with several distinct counts for unique comment ids.
-
-    One aggregate with several distinct counts would copy every input row once per count. Here the rows are first
-    added up per key and counted values, and only those sums are copied.
-    """
-    values = [name for name in dict.fromkeys(distinct.values()) if name not in keys]
-    return _from_sums(_sums(df, [*keys, *values]), keys, distinct)
-
-
-def with_distincts(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column], distinct: dict[str, str]) -> DataFrame:
-    """Group by keys that are not null; ``distinct`` maps result names to columns whose values are counted.
-
-    One aggregate with several distinct counts would copy every row once per count. Each count has an aggregate of its
-    own instead, over its one column, and the results, one row per group, are joined by the keys.
-    """
-    out = df.groupBy(*keys).agg(*metrics)
-    for alias, name in distinct.items():
-        side = df.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys]).agg(F.count_distinct(name).alias(alias))
-        out = out.join(side, [F.col(k) == F.col(f"k_{k}") for k in keys]).drop(*[f"k_{k}" for k in keys])
-    return out
+def _from_sums(states: DataFrame, keys: Sequence[str], distinct: dict[str, str]) -> DataFrame:
+    """Metrics per key from such states, whatever finer values they are kept by; counted values must be among them."""
+    again = {name: F.col(name) for name in [*_row_sums(), "comment_ids"]}
+    out = counted(states, keys, distinct, again).withColumnRenamed("comment_ids", "comments_count")
+    return _metrics(out, keys, list(distinct))
 
 
 def _mart(
@@ -125,17 +115,15 @@ def _mart(
 
     Ratios divide label ROWS by distinct ids.
     """
-    counted = distinct or {}
     keyed = df
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull())
-    if unique_ids and len(counted) > 1:
-        out = _two_step(keyed, keys, counted)
-    elif counted and not unique_ids:
-        out = with_distincts(keyed, keys, metric_columns(), counted)
+    if distinct and unique_ids:
+        out = _from_sums(_sums(keyed, list(dict.fromkeys([*keys, *distinct.values()]))), keys, distinct)
+    elif distinct:
+        out = _metrics(counted(keyed, keys, {"comments_count": "comment_id", **distinct}, _row_sums()), keys, list(distinct))
     else:
-        extra = [F.count_distinct(name).alias(alias) for alias, name in counted.items()]
-        out = keyed.groupBy(*keys).agg(*extra, *metric_columns(unique_ids))
+        out = keyed.groupBy(*keys).agg(*metric_columns(unique_ids))
     return _finished(out, built_at, ratios)
 
 
@@ -160,8 +148,8 @@ def video_summary(scored: DataFrame, unique_ids: bool = False, built_at: str | N
 
 
 def topic_summary(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    counted = {"collection_dates_seen": "collection_date", **_VIDEOS}
-    return _mart(prepare_scored(scored), ["topic", "genre"], counted, unique_ids, built_at)
+    distinct = {**_VIDEOS, "collection_dates_seen": "collection_date"}
+    return _mart(prepare_scored(scored), ["topic", "genre"], distinct, unique_ids, built_at)
 
 
 def daily_trend(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
@@ -176,8 +164,8 @@ def weekday_hour(scored: DataFrame, unique_ids: bool = False, built_at: str | No
 
 
 def overview_kpis(scored: DataFrame, unique_ids: bool = False, built_at: str | None = None) -> DataFrame:
-    counted = {"topics_covered": "topic", "genres_covered": "genre", **_VIDEOS}
-    return _mart(prepare_scored(scored), ["collection_date", "platform"], counted, unique_ids, built_at)
+    distinct = {**_VIDEOS, "topics_covered": "topic", "genres_covered": "genre"}
+    return _mart(prepare_scored(scored), ["collection_date", "platform"], distinct, unique_ids, built_at)
 
 
 STATE_VALUES = ("collection_date", "platform", "topic", "genre", "video_id")
@@ -198,19 +186,19 @@ def day_states(scored: DataFrame, unique_ids: bool = True, built_at: str | None
 #: Marts that states of days give: keys and distinct counts.
 STATE_MARTS = {
     "daily_summary": (("collection_date", "topic", "genre"), {}),
-    "topic_summary": (("topic", "genre"), {"collection_dates_seen": "collection_date", **_VIDEOS}),
+    "topic_summary": (("topic", "genre"), {**_VIDEOS, "collection_dates_seen": "collection_date"}),
     "daily_trend": (("collection_date", "topic", "genre"), _VIDEOS),
-    "overview_kpis": (("collection_date", "platform"), {"topics_covered": "topic", "genres_covered": "genre", **_VIDEOS}),
+    "overview_kpis": (("collection_date", "platform"), {**_VIDEOS, "topics_covered": "topic", "genres_covered": "genre"}),
 }
 
 
 def from_states(states: DataFrame, mart: str, built_at: str | None = None) -> DataFrame:
     """One of ``STATE_MARTS`` from the states of days; the same rows as from the comments."""
-    keys, counted = STATE_MARTS[mart]
+    keys, distinct = STATE_MARTS[mart]
     keyed = states
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull())
-    return _finished(_from_sums(keyed, keys, counted), built_at)
+    return _finished(_from_sums(keyed, keys, distinct), built_at)
 
 
 def period_summary(states: DataFrame, unit: str = "month", built_at: str | None = None) -> DataFrame:
@@ -220,7 +208,7 @@ def period_summary(states: DataFrame, unit: str = "month", built_at: str | None
     keys = ["period_start", "topic", "genre"]
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull())
-    return _finished(_from_sums(keyed, keys, {"collection_dates_seen": "collection_date", **_VIDEOS}), built_at)
+    return _finished(_from_sums(keyed, keys, {**_VIDEOS, "collection_dates_seen": "collection_date"}), built_at)
 
 
 def comment_keywords(df: DataFrame, columns: Sequence[str | Column], stop_words: Sequence[str]) -> DataFrame:
@@ -309,15 +297,23 @@ def daily_topic_metrics(scored: DataFrame, unique_ids: bool = False, built_at: C
     mean = {"sentiment_score": "avg_sentiment_score", "confidence": "avg_sentiment_confidence", "likes": "avg_like_count"}
     mean |= {cls: f"avg_{cls}_probability" for cls in ("negative", "neutral", "positive")}
     total = {"likes": "total_like_count", "replies": "total_reply_count"}
-    measures = [_distinct("comment_id", unique_ids).alias("comment_count")]
-    measures += [_label_count(name) for name in ("positive", "neutral", "negative")]
-    measures += [F.round(F.avg(name), 4).alias(alias) for name, alias in mean.items()]
-    measures += [F.sum(name).alias(alias) for name, alias in total.items()]
     keys, videos = ["metric_date", "topic", "genre"], {"distinct_videos": "video_id"}
+    labels = {f"{name}_comments": F.coalesce(F.col("sentiment_label") == name, F.lit(False)) for name in _LABELS}
+    filled = {f"{name}_rows": F.col(name).isNotNull() for name in mean}
+    sums = {**row_counts(**labels, **filled), **{name: F.col(name) for name in [*mean, "replies"]}}
     if unique_ids:
-        out = df.groupBy(*keys).agg(*measures, F.count_distinct("video_id").alias("distinct_videos"))
+        sums |= row_counts(comment_count=F.col("comment_id").isNotNull())
+        out = counted(df, keys, videos, sums)
     else:
-        out = with_distincts(df, keys, measures, videos)
+        out = counted(df, keys, {"comment_count": "comment_id", **videos}, sums)
+    out = out.select(
+        *keys,
+        "comment_count",
+        *[f"{name}_comments" for name in _LABELS],
+        *[F.round(F.col(name) / F.nullif(F.col(f"{name}_rows"), F.lit(0)), 4).alias(alias) for name, alias in mean.items()],
+        *[F.col(name).alias(alias) for name, alias in total.items()],
+        "distinct_videos",
+    )
     return out if built_at is None else out.withColumn("built_at", built_at)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.base import METRICS, RATIOS, VIEWS, case, engagement, manifests, plan_rows, registry, scratch, sql, table, untidy, view
+from catalog.base import METRICS, RATIOS, VIEWS, case, engagement, manifests, plan_rows, registry, scratch, sql, table, threads, untidy, view
 from catalog.bronze_cases import (
     _SILVER_SQL,
     _STREAM_COLUMNS,
@@ -18,10 +18,11 @@ from catalog.bronze_cases import (
     upsert_sides,
 )
 from catalog.mart_cases import scored_table
-from voxlake.operators import marts
+from voxlake.operators import filters, marts
 from voxlake.plans import jobs
 from voxlake.sinks import buckets
-from voxlake.sources.tables import read_contract
+from voxlake.sources import connector, documents
+from voxlake.sources.tables import load_marts, read_contract
 from voxlake.streaming import events as streaming
 from voxlake.streaming import latest, offsets
 
@@ -273,3 +274,88 @@ def _refresh_tables(spark, d):
     )
     jobs.custom_query_refresh(spark, root, plan, query, {}, given.filter(rest), manifests(spark, d), AT)
     return all_tables(spark, root, list(GOLD))
+
+
+@case(
+    "score_job_values",
+    sql(
+        """SELECT comment_id, sentiment_score, sentiment_label, sentiment_confidence, negative_probability,
+    neutral_probability, positive_probability, CAST(4 AS BIGINT) AS token_count FROM opin_eng""",
+        "opin_eng",
+    ),
+)
+def _score_values(spark, d):
+    """Every score column of the scored table, with the default lexicon."""
+    root = scratch(spark, "lakehouse")
+    jobs.bronze_daily(spark, root, opinions(spark, d), manifests(spark, d), plan_rows(spark, d), AT)
+    jobs.build_silver(spark, root)
+    jobs.score_silver(spark, root, AT)
+    return read_contract(spark, root, jobs.SCORED).select(
+        "comment_id", "sentiment_score", "sentiment_label", "sentiment_confidence", "negative_probability",
+        "neutral_probability", "positive_probability", "token_count",
+    )
+
+
+#: Frames of the mart bundle and the SQL views of their rows.
+_BUNDLE = {
+    "sentiment_daily_summary": "daily_summary",
+    "sentiment_video_summary": "video_summary",
+    "sentiment_topic_summary": "topic_summary",
+    "sentiment_daily_trend": "daily_trend",
+    "sentiment_weekday_hour_engagement": "weekday_hour",
+    "sentiment_overview_kpis": "overview_kpis",
+}
+
+
+@case("mart_bundle_values", all_tables_sql(list(_BUNDLE.values())))
+def _bundle_values(spark, d):
+    """Every number of the marts that pages read, as the bundle gives them."""
+    root = scored_table(spark, d)
+    jobs.sentiment_gold(spark, root, at=AT)
+    jobs.descriptive_gold(spark, root, at=AT)
+    bundle, out = load_marts(spark, root), None
+    for frame, name in _BUNDLE.items():
+        _, keys, numbers = GOLD[name]
+        part = long_form(bundle[frame].select(*keys, *numbers), name, keys)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@case(
+    "day_bounds_of_a_range",
+    sql(
+        """SELECT strftime(comment_published_at, '%Y-%m-%d') AS day, count(*) AS zoned, count(*) AS unzoned FROM eng
+  WHERE comment_published_at >= TIMESTAMP '2024-01-05' AND comment_published_at < TIMESTAMP '2024-01-11' GROUP BY 1""",
+        "eng",
+    ),
+)
+def _day_bounds(spark, d):
+    """An inclusive range of days against times with and without a zone: the same rows."""
+    low, high = filters.day_bounds("2024-01-05", "2024-01-10")
+    rows = engagement(spark, d).select(F.col("comment_published_at").cast("timestamp").alias("z"), F.col("comment_published_at").cast("timestamp_ntz").alias("n"))
+    inside = lambda c, kind: (F.col(c) >= low.cast(kind)) & (F.col(c) < high.cast(kind))
+    found = rows.select(F.date_format("n", "yyyy-MM-dd").alias("day"), inside("z", "timestamp").alias("in_z"), inside("n", "timestamp_ntz").alias("in_n"))
+    counts = found.groupBy("day").agg(F.count_if("in_z").alias("zoned"), F.count_if("in_n").alias("unzoned"))
+    return counts.filter("zoned > 0 OR unzoned > 0")
+
+
+@case("historical_dump_list", sql("SELECT thread_id, 'v' || conv_id AS video_id, n_replies AS replies FROM thr", "thr"))
+def _dump_list(spark, d):
+    """The dump as one JSON list, written line by line and read element by element."""
+    folder = scratch(spark, "dump")
+    body = threads(spark, d).select(F.concat(F.lit(","), "document").alias("value"), F.lit(1).alias("at"))
+    ends = spark.range(1).select(F.explode(F.array(F.struct(F.lit("[{}").alias("value"), F.lit(0).alias("at")), F.struct(F.lit("]").alias("value"), F.lit(2).alias("at")))).alias("e"))
+    body.unionByName(ends.select("e.*")).coalesce(1).sortWithinPartitions("at").select("value").write.text(folder)
+    read = documents.read_threads(spark, folder).filter("thread_id is not null")
+    return read.select("thread_id", "video_id", F.size("replies").cast("bigint").alias("replies"))
+
+
+@case("document_connector", sql("SELECT comment_id, topic, 2 AS versions FROM eng WHERE collection_date = '2024-01-07'", "eng"))
+def _connector(spark, d):
+    """Documents written in two commits through the connector; one day read back, segments of other days skipped."""
+    path = scratch(spark, "store")
+    rows = engagement(spark, d).select("comment_id", "topic", "collection_date", "video_id", "comment_like_count")
+    for _ in range(2):
+        connector.write_documents(rows, path)
+    day = connector.read_documents(spark, path, only="2024-01-07")
+    return day.groupBy("comment_id", "topic").agg(F.count_distinct("_sequence").cast("int").alias("versions"))

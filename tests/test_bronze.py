@@ -253,3 +253,32 @@ def test_batched_writes(spark):
 
     out = upsert.write_in_batches(spark.range(10).repartition(1), deliver, 3).collect()
     assert [(r["batches"], r["documents"]) for r in out] == [(4, 10)]
+
+
+def test_a_large_list_document_is_read_by_spark_alone(spark, tmp_path):
+    """200 MB in one file; no Python worker takes part."""
+    record = json.dumps({"comment_id": "c", "text": "x" * 1900, "nested": {"b": [1, 2], "a": None}})
+    with open(tmp_path / "big.json", "w") as out:
+        out.write('{"meta": 1, "comments": [' + ",".join([record] * 105_000) + "]}")
+    assert (tmp_path / "big.json").stat().st_size > 200_000_000
+    found = documents.read_run_records(spark, str(tmp_path / "big.json"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+    assert found.select("comment_id", "text").groupBy("comment_id").count().collect()[0]["count"] == 105_000
+
+
+def test_shapes_of_documents(spark, tmp_path):
+    cases = {
+        "a": '[{"comment_id": "1"}, 5, null, [], {"comment_id": "2", "x": {"k": 1}}]',
+        "b": '﻿ {"records": [{"comment_id": "3"}], "comments": {"not": "a list"}}',
+        "c": '{"comments": [{"comment_id": "4"}], "records": [{"comment_id": "no"}]}',
+        "d": "",
+    }
+    for name, text in cases.items():
+        (tmp_path / f"{name}.json").write_text(text, encoding="utf-8")
+    rows = documents.read_run_records(spark, f"{tmp_path}/*.json").collect()
+    assert sorted((r["comment_id"], r["position"]) for r in rows) == [("1", 1), ("2", 5), ("3", 1), ("4", 1)]
+    assert next(r for r in rows if r["comment_id"] == "2")["raw_record_json"] == '{"comment_id":"2","x":{"k":1}}'
+    (tmp_path / "m.txt").write_text('{"run_id": 7, "plan_path": ["x"], "queries_executed": 3, "other": [{"deep": 1}]}')
+    (found,) = documents.read_manifests(spark, f"{tmp_path}/m.txt").collect()
+    assert (found["run_id"], found["plan_path"], found["queries_executed"], found["error_count"]) == ("7", None, "3", None)

@@ -246,3 +246,39 @@ def test_stream_of_versions_equals_the_batch_table(spark, tmp_path):
 def test_modules_name_the_same_tables():
     assert (events.COMMENTS, events.RUNS) == (offsets.COMMENTS, offsets.RUNS)
     assert jobs.SILVER == changes.SILVER and jobs.SCORED == changes.SCORED and bronze and latest.KEY == changes.KEY[0]
+
+
+# ------------------------------------------------------------------ the document store's connector
+
+
+def test_connector_commits_whole_writes(spark, tmp_path):
+    from voxlake.sources import connector
+
+    path = str(tmp_path / "store")
+    day = lambda ids, text, d: docs(spark, ids, text).withColumn("collection_date", F.lit(d))
+    connector.write_documents(day(range(6), "a", "2026-04-01").unionByName(day(range(6, 9), "a", "2026-04-02")).repartition(3), path)
+    connector.write_documents(day([2, 20], "b", "2026-04-03").drop("likes"), path)
+    everything = connector.read_documents(spark, path)
+    assert everything.count() == 11 and set(everything.columns) == {*DOCS.replace(" string", "").replace(" bigint", "").split(", "), "collection_date", "_sequence"}
+    current = {r["comment_id"]: (r["text"], r["likes"]) for r in connector.current_documents(spark, path).collect()}
+    assert len(current) == 10 and current["c2"] == ("b", None) and current["c3"] == ("a", 1)
+    near = connector.read_documents(spark, path, only="2026-04-03")
+    assert near.rdd.getNumPartitions() < everything.rdd.getNumPartitions() and near.count() == 2
+    assert connector.read_documents(spark, path, only="1999-01-01").count() == 0 and everything.count() == 11
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    from voxlake.sources import connector
+
+    path = str(tmp_path / "store")
+    connector.write_documents(docs(spark, range(4)), path)
+    seen = files(path)
+    bad = docs(spark, range(100)).repartition(4).withColumn("likes", F.when(F.col("comment_id") == "c77", F.raise_error(F.lit("broken"))).otherwise(F.col("likes")))
+    with pytest.raises(Exception, match="broken"):
+        connector.write_documents(bad, path)
+    assert files(path) == seen and len(os.listdir(f"{path}/commits")) == 1
+    assert connector.read_documents(spark, path).count() == 4
+    with pytest.raises(Exception, match="added to"):
+        docs(spark, [1]).write.format(connector.FORMAT).option("path", path).mode("overwrite").save()
+    connector.write_documents(docs(spark, [1]).limit(0), path)
+    assert connector.read_documents(spark, path).count() == 4

@@ -77,100 +77,58 @@ def records_from_documents(documents: DataFrame, document: str = "document") ->
     )
 
 
-def _split(lists: tuple[str, ...], shape_error: str):
-    """A function over (path, content) that cuts JSON documents into the texts of their records, of any number.
+def _whole_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``source_path, run_folder, text, opens``: one row a file, and the first sign of its text that is no white space."""
+    paths = [path] if isinstance(path, str) else list(path)
+    mark = "\ufeff"
+    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), "value")
+    text = F.when(F.startswith("value", F.lit(mark)), F.substring("value", 2, (1 << 31) - 1)).otherwise(F.col("value"))
+    # A file without a byte gives a row or none, as the file system has it; it is no document.
+    filled = files.select("source_path", text.alias("text")).filter(F.length("text") > 0)
+    return filled.select(
+        "source_path",
+        F.regexp_extract("source_path", r"([^/]+)/[^/]+$", 1).alias("run_folder"),
+        "text",
+        F.regexp_extract("text", r"^\s*(\S)", 1).alias("opens"),
+    )
 
-    A document is a list, or an object with one of ``lists``; of several the first named counts. Without ``lists`` the
-    document is an object, and its record has the object's values that are no lists or objects. Records are found one
-    after the other; only the bytes of the file and one record are held.
-    """
 
-    def run(batches):
-        import json
-
-        import pyarrow as pa
-
-        decode, gap = json.JSONDecoder().raw_decode, json.decoder.WHITESPACE.match
-
-        def elements(text, at):
-            """Start and end of each value of the list that begins at ``at``; last the end of the list."""
-            at = gap(text, at + 1).end()
-            while text[at] != "]":
-                _, end = decode(text, at)
-                yield at, end
-                at = gap(text, end).end()
-                if text[at] == ",":
-                    at = gap(text, at + 1).end()
-                elif text[at] != "]":
-                    raise ValueError(f"no comma at {at}")
-            yield at + 1, None
-
-        def members(text, at):
-            """Name, start and end of each value of the object; values of ``lists`` that are lists give their elements."""
-            at = gap(text, at + 1).end()
-            while text[at] != "}":
-                name, at = decode(text, at)
-                at = gap(text, at).end()
-                if text[at] != ":":
-                    raise ValueError(f"no colon at {at}")
-                start = gap(text, at + 1).end()
-                if name in lists and text[start] == "[":
-                    found = list(elements(text, start))
-                    at = found.pop()[0]
-                    yield name, found
-                else:
-                    value, at = decode(text, start)
-                    yield name, value
-                at = gap(text, at).end()
-                if text[at] == ",":
-                    at = gap(text, at + 1).end()
-                elif text[at] != "}":
-                    raise ValueError(f"no comma at {at}")
-
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = content.as_py().decode("utf-8-sig")
-                try:
-                    at = gap(text, 0).end()
-                    spans, single = None, None
-                    if lists and text[at] == "[":
-                        spans = list(elements(text, at))[:-1]
-                    elif text[at] == "{":
-                        named = dict(members(text, at))
-                        if lists:
-                            spans = next((named[n] for n in lists if isinstance(named.get(n), list) and n in named), None)
-                        else:
-                            single = json.dumps({k: v for k, v in named.items() if not isinstance(v, (list, dict))})
-                except (ValueError, IndexError) as error:
-                    raise ValueError(f"{path} is no JSON document: {error}") from error
-                if single is None and spans is None:
-                    raise ValueError(f"{shape_error} ({path})")
-                texts = [single] if single is not None else [text[a:b] for a, b in spans]
-                for low in range(0, max(1, len(texts)), 1000):
-                    part = texts[low : low + 1000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(part), pa.string()), pa.array(range(low + 1, low + 1 + len(part)), pa.int64()), pa.array(part, pa.string())],
-                        names=["source_path", "position", "text"],
-                    )
-
-    return run
+def _refused(why: Column | str, kind: str) -> Column:
+    reason = F.lit(why) if isinstance(why, str) else why
+    return F.raise_error(F.concat(reason, F.lit(" ("), "source_path", F.lit(")"))).cast(kind)
 
 
 def read_records(spark: SparkSession, path: str | Sequence[str], lists: tuple[str, ...], shape_error: str) -> DataFrame:
     """``source_path, run_folder, position, record`` (a variant) of all JSON objects in the lists of JSON files.
 
-    A file is cut by one task; no limit of a single value applies to it, only to each record.
+    A document is a list, or an object with one of ``lists``; of several the first named that is a list counts. Spark's
+    JSON parser reads the document and makes each element a variant of its own, so the limit of a variant holds for a
+    record, not for a file; a file is read by one task.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    cut = files.mapInArrow(_split(lists, shape_error), "source_path string, position bigint, text string")
-    rows = cut.select(
-        "source_path",
-        F.regexp_extract("source_path", r"([^/]+)/[^/]+$", 1).alias("run_folder"),
-        "position",
-        F.parse_json("text").alias("record"),
-    )
-    return rows.filter(F.expr("schema_of_variant(record) LIKE 'OBJECT%'"))
+    kind = "array<variant>"
+    files = _whole_files(spark, path)
+    listed = F.from_json("text", kind, {"mode": "PERMISSIVE"})
+    named = F.from_json("text", "struct<" + ", ".join(f"`{name}`: {kind}" for name in lists) + ">", {"mode": "PERMISSIVE"})
+    held = F.when(F.col("opens") == "[", listed)
+    whole = files.withColumn("_object", F.when(F.col("opens") == "{", named))
+    held = F.coalesce(held, *[F.col(f"_object.`{name}`") for name in lists])
+    rows = whole.select("source_path", "run_folder", F.coalesce(held, _refused(shape_error, kind)).alias("elements"))
+    exploded = rows.select("source_path", "run_folder", F.posexplode("elements").alias("position", "record"))
+    objects = exploded.filter(F.expr("schema_of_variant(record) LIKE 'OBJECT%'"))
+    return objects.select("source_path", "run_folder", (F.col("position") + 1).cast("bigint").alias("position"), "record")
+
+
+def read_objects(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str], shape_error: str) -> DataFrame:
+    """``source_path, run_folder`` and the given fields, as text, of JSON files that are an object each.
+
+    Only these fields are kept of a document, whatever else it holds; a field that is a list or an object is null.
+    """
+    kind = "struct<" + ", ".join(f"`{name}`: variant" for name in fields) + ">"
+    parsed = F.from_json("text", kind, {"mode": "FAILFAST"})
+    document = F.when(F.col("opens") == "{", parsed).otherwise(_refused(shape_error, kind))
+    rows = _whole_files(spark, path).select("source_path", "run_folder", document.alias("d"))
+    plain = lambda name: F.expr(f"CASE WHEN schema_of_variant(d.`{name}`) RLIKE '^(ARRAY|OBJECT)' THEN NULL ELSE try_variant_get(d.`{name}`, '$', 'string') END")
+    return rows.select("source_path", "run_folder", *[plain(name).alias(name) for name in fields])
 
 
 def read_run_records(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame:
@@ -193,12 +151,9 @@ _PLAN_FIELDS = "query_id query_text topic genre cadence priority expected_units
 
 def read_manifests(spark: SparkSession, pattern: str) -> DataFrame:
     """One row per run folder with the manifest's fields."""
-    documents = read_records(spark, pattern, (), "unsupported manifest: expected an object")
-    return documents.select(
-        F.col("source_path").alias("manifest_path"),
-        "run_folder",
-        *[_field("record", name) for name in (*_MANIFEST_FIELDS, *_MANIFEST_COUNTS)],
-    )
+    fields = (*_MANIFEST_FIELDS, *_MANIFEST_COUNTS)
+    documents = read_objects(spark, pattern, fields, "unsupported manifest: expected an object")
+    return documents.select(F.col("source_path").alias("manifest_path"), "run_folder", *fields)
 
 
 def latest_run(manifests: DataFrame, order: str = "manifest_path") -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,9 +39,14 @@ MAX_LISTS = 4096
 NEIGHBOURS, ENTRIES = 24, 64
 #: Lists of a vector, at most, and how much farther than the nearest they may be.
 REPLICAS, BOUNDARY = 6, 1.12
-#: Lists that a query considers, and how much farther than the nearest they may be.
-PROBES, PRUNE = 96, 1.35
+#: Lists that a query considers: so many, or this share of all where that is more; and how much farther than the nearest
+#: they may be. A fixed number loses recall as lists become more.
+PROBES, PROBE_SHARE, PRUNE = 96, 0.125, 1.35
+#: Queries that are searched for at once.
+SEARCHED = 512
 PAGE, QUERY_BLOCK = 4096, 1024
+#: Pairs that are compared exactly at once.
+TIES = 1 << 16
 
 
 def matrix(column: pa.Array, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +169,10 @@ def homes(centroids: Centroids, vectors: np.ndarray) -> list[np.ndarray]:
 
 def probes(centroids: Centroids, queries: np.ndarray, sizes: np.ndarray, wanted: int) -> list[np.ndarray]:
     """The lists that each query reads: within the ratio, and on until their own ids are more than wanted."""
-    ids, sims = centroids.search(queries, min(PROBES, max(1, len(centroids.vectors))))
+    if len(queries) > SEARCHED:
+        return [x for low in range(0, len(queries), SEARCHED) for x in probes(centroids, queries[low : low + SEARCHED], sizes, wanted)]
+    lists = len(centroids.vectors)
+    ids, sims = centroids.search(queries, min(max(PROBES, int(PROBE_SHARE * lists)), max(1, lists)))
     near = _distance(sims)
     keep = (ids >= 0) & (near <= PRUNE * near[:, :1] + 1e-9)
     held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
@@ -176,8 +184,15 @@ def probes(centroids: Centroids, queries: np.ndarray, sizes: np.ndarray, wanted:
     return found
 
 
+def takes_part(vector: Column, dimensions: int) -> Column:
+    """Whether a vector has this length, finite components, and one that is not zero."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return (F.size(vector) == dimensions) & F.forall(vector, finite) & F.exists(vector, lambda x: x != 0)
+
+
 def build(rows: DataFrame, dimensions: int) -> Centroids | None:
     """Centroids from a share of the rows; ``rows`` has ``id, vec``."""
+    rows = rows.where(takes_part(F.col("vec"), dimensions))
     n = rows.count()
     room = max(1, min(SAMPLE_ROWS, SAMPLE_NUMBERS // dimensions))
     drawn = rows.where(hash_share(room / max(1, n), F.col("id"))).dropDuplicates(["id"]).select("id", "vec")
@@ -190,8 +205,10 @@ def build(rows: DataFrame, dimensions: int) -> Centroids | None:
 
     kind = rows.schema["id"].dataType.simpleString()
     sample = sorted(((r["id"], bytes(r["vec"])) for r in map_arrow(drawn, run, f"id {kind}, vec binary").collect()))
-    if not sample:
-        sample = sorted((r["id"], bytes(r["vec"])) for r in map_arrow(rows.limit(1000), run, f"id {kind}, vec binary").collect())
+    if not sample and n:
+        # A hash share of few rows can be empty: then the first of all, in the order of their hash, is the sample.
+        first = rows.orderBy(F.xxhash64("id", "vec")).limit(1).select("id", "vec")
+        sample = [(r["id"], bytes(r["vec"])) for r in map_arrow(first, run, f"id {kind}, vec binary").collect()]
     if not sample:
         return None
     vectors = np.array([np.frombuffer(v, "<f4") for _, v in sample], np.float32)
@@ -273,7 +290,7 @@ def nearest(
             edge = np.partition(top, len(own) - count, axis=1)[:, len(own) - count]
             # All that tie, up to rounding, with the last id or with the best row of their id are compared by the exact measure.
             i, j = np.nonzero((near >= np.maximum(edge[:, None], top[:, of_row]) - 1e-9) & np.isfinite(near))
-            score = cosines(q[i], v[j])
+            score = np.concatenate([np.zeros(0), *[cosines(q[i[a : a + TIES]], v[j[a : a + TIES]]) for a in range(0, len(i), TIES)]])
             order = np.lexsort((-score, of_row[j], i))
             i, j, score = i[order], j[order], score[order]
             first = np.ones(len(i), bool)

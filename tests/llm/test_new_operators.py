@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxlake.llm import audit, hard_negatives, queries, suffix_dedup
+from voxlake.llm import ann, audit, hard_negatives, queries, suffix_dedup
 
 TEXTS = "doc_id long, text string, lang string, size int, chunk int, bounds int, kept string, mask int"
 
@@ -242,3 +242,34 @@ def test_large_components_stay_exact():
 def test_registered():
     for name in ("op11_suffix_dedup", "op12_filter_audit", "op13_hard_negatives"):
         assert name in queries.QUERIES and name in queries.SQL
+
+
+# ------------------------------------------------------------------ 2 vectors, on the cases that grew this round
+
+
+def test_nearest_on_many_equal_vectors_and_clashing_names(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(3000)] + [(3000 + i, [float(x) for x in draw.normal(size=4)]) for i in range(50)]
+    rows += [(None, [1.0, 2.0, 3.0, 4.0]), (9001, None), (9002, [0.0] * 4), (9003, [float("nan"), 1.0, 1.0, 1.0]), (9004, [1.0, None, 1.0, 1.0])]
+    names = "vec_id long, embedding array<double>, id int, vec int, list int, page int, block int, lists int"
+    frame = spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6) for r in rows], names)
+    out = ann.nearest(frame, frame.where("vec_id < 600 or vec_id > 9000"))
+    found = out.groupBy("query_id").agg(F.collect_list("vec_id").alias("near"), F.max("score").alias("score")).collect()
+    assert len(found) == 600
+    for r in found:
+        assert sorted(r["near"]) == [i for i in range(6) if i != r["query_id"]][:5] and abs(r["score"] - 1) < 1e-12
+
+
+def test_few_valid_vectors_behind_many_others(spark):
+    bad = spark.range(70_000).select(F.col("id").alias("vec_id"), F.array(*[F.lit(0.0)] * 3).alias("embedding"))
+    good = spark.createDataFrame([(100_000 + i, [1.0, float(i), 0.5]) for i in range(8)], "vec_id long, embedding array<double>")
+    out = ann.nearest(bad.unionByName(good), good)
+    assert out.count() == 8 * 5
+
+
+def test_probes_grow_with_the_lists():
+    draw = np.random.default_rng(2)
+    vectors = ann.unit(draw.normal(size=(4000, 16)))
+    centroids = ann.Centroids.of(ann.balanced(vectors.astype(np.float32), 1000))
+    found = ann.probes(centroids, vectors[:600], np.full(1000, 4), 5)
+    assert max(len(f) for f in found) > ann.PROBES and len(found) == 600

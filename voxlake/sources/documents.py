@@ -109,10 +109,10 @@ def read_records(spark: SparkSession, path: str | Sequence[str], lists: tuple[st
     files = _whole_files(spark, path)
     listed = F.from_json("text", kind, {"mode": "PERMISSIVE"})
     named = F.from_json("text", "struct<" + ", ".join(f"`{name}`: {kind}" for name in lists) + ">", {"mode": "PERMISSIVE"})
-    held = F.when(F.col("opens") == "[", listed)
-    whole = files.withColumn("_object", F.when(F.col("opens") == "{", named))
-    held = F.coalesce(held, *[F.col(f"_object.`{name}`") for name in lists])
-    rows = whole.select("source_path", "run_folder", F.coalesce(held, _refused(shape_error, kind)).alias("elements"))
+    # Within a lambda the parsed object is one value, however many of its lists are asked for.
+    chosen = F.transform(F.array(named), lambda d: F.coalesce(*[d.getField(name) for name in lists])).getItem(0)
+    held = F.when(F.col("opens") == "[", listed).when(F.col("opens") == "{", chosen)
+    rows = files.select("source_path", "run_folder", F.coalesce(held, _refused(shape_error, kind)).alias("elements"))
     exploded = rows.select("source_path", "run_folder", F.posexplode("elements").alias("position", "record"))
     objects = exploded.filter(F.expr("schema_of_variant(record) LIKE 'OBJECT%'"))
     return objects.select("source_path", "run_folder", (F.col("position") + 1).cast("bigint").alias("position"), "record")

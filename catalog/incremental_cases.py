@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -339,13 +340,19 @@ def _day_bounds(spark, d):
     return counts.filter("zoned > 0 OR unzoned > 0")
 
 
+def _as_lists(batches):
+    """The documents of a partition as a JSON list, an element a line."""
+    yield pa.RecordBatch.from_pydict({"value": ["[{}"]})
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({"value": ["," + document for document in batch.column(0).to_pylist()]})
+    yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+
 @case("historical_dump_list", sql("SELECT thread_id, 'v' || conv_id AS video_id, n_replies AS replies FROM thr", "thr"))
 def _dump_list(spark, d):
-    """The dump as one JSON list, written line by line and read element by element."""
+    """The dump as JSON lists, a file for each task that writes, written line by line and read element by element."""
     folder = scratch(spark, "dump")
-    body = threads(spark, d).select(F.concat(F.lit(","), "document").alias("value"), F.lit(1).alias("at"))
-    ends = spark.range(1).select(F.explode(F.array(F.struct(F.lit("[{}").alias("value"), F.lit(0).alias("at")), F.struct(F.lit("]").alias("value"), F.lit(2).alias("at")))).alias("e"))
-    body.unionByName(ends.select("e.*")).coalesce(1).sortWithinPartitions("at").select("value").write.text(folder)
+    threads(spark, d).mapInArrow(_as_lists, "value string").write.text(folder)
     read = documents.read_threads(spark, folder).filter("thread_id is not null")
     return read.select("thread_id", "video_id", F.size("replies").cast("bigint").alias("replies"))
 

@@ -282,3 +282,29 @@ def test_shapes_of_documents(spark, tmp_path):
     (tmp_path / "m.txt").write_text('{"run_id": 7, "plan_path": ["x"], "queries_executed": 3, "other": [{"deep": 1}]}')
     (found,) = documents.read_manifests(spark, f"{tmp_path}/m.txt").collect()
     assert (found["run_id"], found["plan_path"], found["queries_executed"], found["error_count"]) == ("7", None, "3", None)
+
+
+def test_lists_with_an_element_a_line_are_split(spark, tmp_path):
+    one = lambda i: {"thread_id": f"t{i}", "video_id": "a ] b", "replies": [{"comment_id": "x", "text": "},\n{[,"}]}
+    texts = [json.dumps(one(i)) for i in range(400)]
+    plain = {"split": "[{}\n" + "".join(f",{t}\n" for t in texts) + "]\n", "ends": "[\n" + ",\n".join(f" {t}" for t in texts) + "\n]"}
+    shared = {
+        "pretty": json.dumps([one(i) for i in range(400)], indent=1),
+        "single": json.dumps([one(i) for i in range(400)]),
+        "broken": "[" + ",\n".join(t.replace(' [{"comment_id"', '\n[{"comment_id"') for t in texts) + "]",
+        "pairs": "[" + ",\n".join(f"{a},{b}" for a, b in zip(texts[::2], texts[1::2], strict=True)) + "]",
+    }
+    (tmp_path / "a b").mkdir()
+    for name, text in {**plain, **shared}.items():
+        (tmp_path / "a b" / f"{name}.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        for name in [*plain, *shared]:
+            found = documents.read_threads(spark, str(tmp_path / "a b" / f"{name}.json")).filter("thread_id is not null")
+            assert sorted((r["thread_id"], r["video_id"], r["replies"][0]["text"]) for r in found.collect()) == sorted((f"t{i}", "a ] b", "},\n{[,") for i in range(400)), name
+            assert (found.select(F.spark_partition_id()).distinct().count() > 1) == (name in plain), name
+        whole = documents.read_threads(spark, str(tmp_path / "a b")).filter("thread_id is not null")
+        assert {tuple(r) for r in whole.groupBy("source_path").count().select("count").distinct().collect()} == {(400,)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -179,13 +179,68 @@ def plan_lookup(plan: DataFrame, order: str | None = None) -> DataFrame:
     return ranked.filter("_rank = 1").drop("_rank", *([order] if order else []))
 
 
+# Fixed value: bytes of the longest line that is looked at; a list with a longer one is streamed.
+_LONGEST_LINE = 1 << 28
+
+
+def _list_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``source_path, file_size, opens, body, comma, closes, bytes``: the parts of each line of a JSON list.
+
+    A line break is never within a JSON string, so a line's signs tell whether it holds one whole element.
+    """
+    lines = spark.read.option("mapreduce.input.linerecordreader.line.maxlength", str(_LONGEST_LINE)).text(path)
+    blank = " \t\r"
+    cut = lambda column, at: F.btrim(F.expr(f"substring({column}, {at})"), F.lit(blank))
+    df = lines.select(
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.octet_length("value").cast("bigint").alias("bytes"),
+        F.btrim("value", F.lit(blank)).alias("body"),
+    )
+    df = df.withColumn("opens", F.startswith("body", F.lit("["))).withColumn("body", F.when(F.col("opens"), cut("body", 2)).otherwise(F.col("body")))
+    df = df.withColumn("first", F.startswith("body", F.lit(","))).withColumn("body", F.when(F.col("first"), cut("body", 2)).otherwise(F.col("body")))
+    df = df.withColumn("closes", F.endswith("body", F.lit("]")))
+    df = df.withColumn("body", F.when(F.col("closes"), cut("body", "1, length(body) - 1")).otherwise(F.col("body")))
+    df = df.withColumn("last", F.endswith("body", F.lit(",")))
+    df = df.withColumn("body", F.when(F.col("last"), cut("body", "1, length(body) - 1")).otherwise(F.col("body")))
+    commas = F.col("first").cast("bigint") + F.col("last").cast("bigint")
+    return df.select("source_path", "file_size", "bytes", "opens", "body", commas.alias("commas"), "closes")
+
+
+def _split_by_lines(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files that are a JSON list of objects, each of them whole on a line of its own; all lines are looked at."""
+    body = F.col("body")
+    element = F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}"))
+    one = F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
+    found = _list_lines(spark, path).groupBy("source_path", "file_size").agg(
+        F.bool_and((body == "") | (element & one)).alias("plain"),
+        F.count_if(body != "").alias("elements"),
+        F.sum("commas").alias("commas"),
+        F.count_if("opens").alias("opening"),
+        F.count_if("closes").alias("closing"),
+        F.sum(F.col("bytes") + 1).alias("bytes"),
+    )
+    whole = (F.col("bytes") - F.col("file_size")).between(0, 1)  # no line was too long; breaks are of one byte
+    listed = (F.col("opening") == 1) & (F.col("closing") == 1) & (F.col("commas") == F.col("elements") - 1)
+    # Names of files, not rows.
+    return [r[0] for r in found.filter(F.col("plain") & whole & listed).select("source_path").collect()]
+
+
 def read_threads(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
     """Nested threads of historical dumps, one row per thread with its file name.
 
-    A JSON list is streamed element by element by one task; files with a thread a ``line`` are split over tasks.
+    Files with a thread a ``line``, and JSON lists with an element a line, are split over tasks; any other JSON list is
+    streamed element by element by one task.
     """
     raw = spark.read.schema(THREAD_SCHEMA).option("multiLine", not lines).json(path)
-    return raw.select("*", F.col("_metadata.file_path").alias("source_path"))
+    file_path = F.col("_metadata.file_path")
+    split = [] if lines else _split_by_lines(spark, path)
+    if not split:
+        return raw.select("*", file_path.alias("source_path"))
+    elements = _list_lines(spark, path).filter(F.col("source_path").isin(split) & (F.col("body") != ""))
+    parsed = elements.select(F.from_json("body", THREAD_SCHEMA).alias("t"), "source_path").select("t.*", "source_path")
+    streamed = raw.select("*", file_path.alias("source_path")).filter(~F.col("source_path").isin(split))
+    return parsed.unionByName(streamed)
 
 
 def parse_threads(documents: DataFrame, column: str = "document") -> DataFrame:

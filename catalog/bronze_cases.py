@@ -356,11 +356,20 @@ def _stream_rows(spark, d):
     return bronze.envelopes_to_bronze(log_messages(spark, d), AT).select(*_STREAM_COLUMNS)
 
 
+#: Messages in a file of a log. A compressed file is read by one task, so this bounds what that task reads.
+_FILE_MESSAGES = 200_000
+
+
+def write_log(messages, folder: str) -> None:
+    """Messages as JSON files, compressed as logs are: a value holds its record twice."""
+    messages.write.option("compression", "lz4").option("maxRecordsPerFile", _FILE_MESSAGES).json(folder)
+
+
 def drained(spark, d) -> str:
     """A lakehouse root into which the log has been drained, twice from the same checkpoint."""
     root, log = scratch(spark, "lakehouse"), scratch(spark, "log")
     checkpoint = scratch(spark, "checkpoint")
-    log_messages(spark, d).write.json(log)
+    write_log(log_messages(spark, d), log)
     for _ in range(2):
         streaming.consume_to_bronze(
             docstore.read_message_files(spark, log), root, checkpoint, executed_at=AT
@@ -392,7 +401,7 @@ def _stream_log(spark, d):
 @case("published_events", sql("SELECT event_id AS key, count(*) AS messages FROM event_rows GROUP BY 1", "event_rows"))
 def _published(spark, d):
     log, out, checkpoint = scratch(spark, "in"), scratch(spark, "out"), scratch(spark, "checkpoint")
-    event_messages(spark, d).write.json(log)
+    write_log(event_messages(spark, d), log)
     stream = spark.readStream.schema("key string, value string").json(log)
     streaming.publish_stream(stream, checkpoint, "parquet", path=out).awaitTermination()
     return spark.read.parquet(out).groupBy("key").agg(F.count(F.lit(1)).alias("messages"))

@@ -17,6 +17,7 @@ from catalog.bronze_cases import (
     records,
     thread_documents,
     upsert_sides,
+    write_log,
 )
 from catalog.mart_cases import scored_table
 from voxlake.operators import filters, marts
@@ -171,7 +172,7 @@ _TAKEN = " + ".join(f"({n} // 4 + CASE WHEN kafka_partition < {n} % 4 THEN 1 ELS
 def _exact_drain(spark, d):
     """A fifth of the log, then a seventh: exactly so many messages, shared out evenly over its four partitions."""
     root, folder = scratch(spark, "lakehouse"), scratch(spark, "log")
-    log_messages(spark, d).write.json(folder)
+    write_log(log_messages(spark, d), folder)
     log = spark.read.schema("topic string, partition bigint, offset bigint, key string, value string").json(folder)
     n = log.count()
     for part in (n // 5, n // 7):

@@ -282,3 +282,32 @@ def test_a_failed_write_leaves_nothing(spark, tmp_path):
         docs(spark, [1]).write.format(connector.FORMAT).option("path", path).mode("overwrite").save()
     connector.write_documents(docs(spark, [1]).limit(0), path)
     assert connector.read_documents(spark, path).count() == 4
+
+
+def test_ranges_go_to_the_log(spark, tmp_path):
+    """The log stays where it is read: met by topic and partition it would come to a task for each partition."""
+    log = spark.range(1000).selectExpr("'t' AS topic", "id % 2 AS partition", "id AS offset", "'k' AS key", "'v' AS value")
+    ranges = spark.createDataFrame([("t", 0, 0, 100, 50), ("t", 1, 0, 50, 25)], "topic string, partition bigint, first_offset bigint, end_offset bigint, messages bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = offsets.messages_of(log, ranges)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert found.count() == 75
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_logs_are_written_compressed_in_bounded_files(spark, tmp_path):
+    from catalog import bronze_cases
+
+    log = spark.range(0, 1000, 1, 1).selectExpr("'t' AS topic", "0L AS partition", "id AS offset", "'k' AS key", "repeat('v', 500) AS value")
+    was, bronze_cases._FILE_MESSAGES = bronze_cases._FILE_MESSAGES, 400
+    try:
+        bronze_cases.write_log(log, str(tmp_path / "log"))
+    finally:
+        bronze_cases._FILE_MESSAGES = was
+    files = [f for f in (tmp_path / "log").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 100_000
+    assert spark.read.schema(log.schema).json(str(tmp_path / "log")).exceptAll(log).isEmpty()

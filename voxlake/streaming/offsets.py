@@ -71,7 +71,7 @@ def even_shares(available: dict, most: int | None) -> dict:
 
 def plan_load(spark: SparkSession, log: DataFrame, root: str, consumer: str, max_messages: int | None = None) -> DataFrame | None:
     """Ranges of the next load, one row for each partition of the log that gives messages; ``None`` without any."""
-    known = progress(spark, root, consumer).select(F.col("topic").alias("t"), F.col("partition").alias("p"), "next_offset")
+    known = F.broadcast(progress(spark, root, consumer).select(F.col("topic").alias("t"), F.col("partition").alias("p"), "next_offset"))
     open_ = log.join(known, (F.col("topic") == F.col("t")) & (F.col("partition") == F.col("p")), "left").filter(
         F.col("next_offset").isNull() | (F.col("offset") >= F.col("next_offset"))
     )
@@ -94,8 +94,11 @@ def plan_load(spark: SparkSession, log: DataFrame, root: str, consumer: str, max
 
 
 def messages_of(log: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The messages within the ranges; there is one range for each partition of the log, a small table."""
-    named = ranges.select(F.col("topic").alias("t"), F.col("partition").alias("p"), "first_offset", "end_offset")
+    """The messages within the ranges; there is one range for each partition of the log, a small table that goes to the log.
+
+    Messages met by topic and partition would come to as many tasks as the log has partitions, however long it is.
+    """
+    named = F.broadcast(ranges.select(F.col("topic").alias("t"), F.col("partition").alias("p"), "first_offset", "end_offset"))
     within = (F.col("topic") == F.col("t")) & (F.col("partition") == F.col("p")) & (F.col("offset") >= F.col("first_offset")) & (F.col("offset") < F.col("end_offset"))
     return log.join(named, within).select(*log.columns)
 

@@ -182,3 +182,22 @@ def test_budget_of_one_platform_in_two_spellings_and_shared_ids(spark):
                    ("d", 9, bad), ("e", 9, bad), ("f", 9, bad), ("g", 1, "selected")]
     summary = {r["platform"]: (r["total_queries_available"], r["total_budget_used"]) for r in planning.plan_summary(plan, 1000).collect()}
     assert summary == {"YOUTUBE": (5, 950), None: (1, 10)}
+
+
+def test_queries_meet_their_errors_once(spark, rows, tmp_path):
+    """Both tables of queries follow from one pass over the summaries."""
+    from voxlake.plans import jobs
+    from voxlake.sources.tables import read_contract
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    q = queries(spark, {}, {"query_id": "q2"}, {"query_id": "q3", "comments_count": 0})
+    e = failures(spark, ("r", "q2", 2, "late"), ("r", "q2", 1, "early"), ("r", "q3", 1, None))
+    jobs.collection_metrics(spark, str(tmp_path), q.withColumn("expected_units", F.udf(count, "bigint")("expected_units")), e)
+    assert seen.value == 3
+    for key, frame in {"bronze.ingestion_runs": runs.ingestion_runs(q, e), "gold.query_performance_summary": runs.query_performance(q, e)}.items():
+        assert rows(read_contract(spark, str(tmp_path), key).select(*frame.columns), "query_id") == rows(frame, "query_id")

@@ -54,8 +54,12 @@ def _with_errors(summaries: DataFrame, index: DataFrame) -> DataFrame:
 
 def query_performance(summaries: DataFrame, errors: DataFrame) -> DataFrame:
     """One row per query and run with counts and outcome."""
-    df = _with_errors(summaries, error_counts(errors))
-    return df.select(
+    return performance_rows(_with_errors(summaries, error_counts(errors)))
+
+
+def performance_rows(collected: DataFrame) -> DataFrame:
+    """Query performance from summaries that have their errors."""
+    return collected.select(
         "run_date",
         "run_id",
         "query_id",
@@ -72,12 +76,21 @@ def query_performance(summaries: DataFrame, errors: DataFrame) -> DataFrame:
     )
 
 
-def ingestion_runs(summaries: DataFrame, errors: DataFrame) -> DataFrame:
-    """The same rows for the bronze run table, with the joined error messages."""
+def with_messages(summaries: DataFrame, errors: DataFrame) -> DataFrame:
+    """Summaries with the messages and the number of their errors, from which both tables of queries follow."""
     # Only messages of queries that have a row are gathered, so errors without a query id do not meet in one list.
     asked = summaries.select("run_id", F.col("query_id").cast("string").alias("query_id")).distinct()
-    df = _with_errors(summaries, error_index(keyed_errors(errors).join(asked, _KEYS, "left_semi")))
-    return df.select(
+    return _with_errors(summaries, error_index(keyed_errors(errors).join(asked, _KEYS, "left_semi")))
+
+
+def ingestion_runs(summaries: DataFrame, errors: DataFrame) -> DataFrame:
+    """The same rows for the bronze run table, with the joined error messages."""
+    return ingestion_rows(with_messages(summaries, errors))
+
+
+def ingestion_rows(collected: DataFrame) -> DataFrame:
+    """Rows of the bronze run table from summaries that have their errors."""
+    return collected.select(
         "run_id",
         "run_date",
         F.lit("youtube").alias("source_name"),

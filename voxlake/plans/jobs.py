@@ -339,15 +339,20 @@ def overview_gold(spark: SparkSession, root: str, fmt: str = DEFAULT_FORMAT) ->
 def collection_metrics(
     spark: SparkSession, root: str, summaries: DataFrame, errors: DataFrame, fmt: str = DEFAULT_FORMAT
 ) -> dict[str, str]:
-    """Query performance, ingestion runs and daily summary appended, then the overview rebuilt."""
-    performance = staged(runs.query_performance(summaries, errors), "query-performance")  # read by two tables
+    """Query performance, ingestion runs and daily summary appended, then the overview rebuilt.
+
+    Queries meet their errors once, whatever the number of tables that follow from it.
+    """
+    collected = staged(runs.with_messages(summaries, errors), "collected")
+    performance = runs.performance_rows(collected)
     out = {}
     for key, frame in {
-        "bronze.ingestion_runs": runs.ingestion_runs(summaries, errors),
+        "bronze.ingestion_runs": runs.ingestion_rows(collected),
         "gold.query_performance_summary": performance,
         "gold.collection_daily_summary": runs.collection_daily_summary(performance),
     }.items():
         out[key] = write_contract(frame, key, root, "append", fmt, refuse_empty=False)
+    discard(collected)
     out["gold.dashboard_overview_daily"] = overview_gold(spark, root, fmt)["status"]
     return out
 

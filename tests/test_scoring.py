@@ -113,3 +113,12 @@ def test_word_pattern_matches_exactly_its_words(words):
     pattern = re.compile(f"^(?:{S.word_pattern(words)})$")
     for probe in ["", "a", "ab", "abc", "abcd", "b", "dont", "don't", "d"]:
         assert bool(pattern.match(probe)) == (probe in words)
+
+
+def test_a_text_is_scanned_once(spark):
+    """Tokens are made by one expression, not again for each side, and match the brute force next to negations."""
+    texts = ["no no good bad", "not bad, never good 👍", "good " * 40, "gut 🔥 größe", "don't don't love hate"]
+    check(spark, texts, S.Lexicon())
+    df = spark.createDataFrame([("good",)], "comment_text string")
+    plan = scoring.score_with_lexicon(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

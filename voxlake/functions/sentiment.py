@@ -52,10 +52,14 @@ def lexicon_text(text: Column) -> Column:
 
 
 def _emoji_hits(text: Column, emojis: Iterable[str]) -> Column:
+    """How many of the emojis the text holds; a text of ASCII alone is not searched for others."""
+    found = list(emojis)
     total = F.lit(0)
-    for emoji in emojis:
+    for emoji in found:
         total = total + F.when(F.contains(text, F.lit(emoji)), 1).otherwise(0)
-    return total
+    if any(emoji.isascii() for emoji in found):
+        return total
+    return F.when(F.octet_length(text) > F.length(text), total).otherwise(0)
 
 
 def word_pattern(words: Iterable[str]) -> str:
@@ -78,32 +82,32 @@ def word_pattern(words: Iterable[str]) -> str:
     return branch(tree) or "(?!)"
 
 
-def lexicon_hits(text: Column, lexicon: Lexicon) -> Column:
-    """struct(positive_hits, negative_hits, token_count).
+def lexicon_tokens(text: Column) -> Column:
+    """The tokens of a text, which are its runs of ``[a-z']``, in order."""
+    return F.regexp_extract_all(lexicon_text(text), F.lit("[a-z']+"), 0)
 
-    Tokens are runs of ``[a-z']``. Three scans of the text: all lexicon words, those right after a negation
-    (found by looking ahead from the negation, so neither consumes the other), and the token count. Only the few
-    matches are handled one by one.
+
+def lexicon_hits(text: Column, tokens: Column, lexicon: Lexicon) -> Column:
+    """struct(positive_hits, negative_hits, token_count) of a text and its ``lexicon_tokens``.
+
+    A word counts for the other side right after a negation. ``tokens`` should be a column of an earlier projection: an
+    expression inside a lambda's input is evaluated anew wherever it stands, so that the text would be scanned for each.
     """
-    plain = lexicon_text(text)
     positive, negative = list(lexicon.positive), list(lexicon.negative)
-    start, end = "(?<![a-z'])", "(?![a-z'])"
-    word = word_pattern(w for w in [*positive, *negative] if w)
-    negation = word_pattern(w for w in lexicon.negations if w)
-    found = F.regexp_extract_all(plain, F.lit(f"{start}{word}{end}"), 0)
-    flipped = F.regexp_extract_all(plain, F.lit(f"{start}{negation}(?=[^a-z']+({word}){end})"), 1)
+    known, negations = [*positive, *negative], list(lexicon.negations)
 
-    def number(hits: Column, words: list[str]) -> Column:
-        return F.size(F.filter(hits, lambda token: token.isin(words)))
+    def number(kept: list[str], turned: list[str]) -> Column:
+        def counts(token: Column, place: Column) -> Column:
+            negated = (place > 0) & F.get(tokens, place - 1).isin(negations)
+            return token.isin(known) & ((token.isin(kept) & ~negated) | (token.isin(turned) & negated))
 
-    def net(up: list[str], down: list[str]) -> Column:
-        return number(found, up) - number(flipped, up) + number(flipped, down)
+        return F.size(F.filter(tokens, counts))
 
     raw = F.coalesce(text, F.lit(""))
     return F.struct(
-        (net(positive, negative) + _emoji_hits(raw, lexicon.positive_emojis)).alias("positive_hits"),
-        (net(negative, positive) + _emoji_hits(raw, lexicon.negative_emojis)).alias("negative_hits"),
-        F.size(F.regexp_extract_all(plain, F.lit("[a-z']+"), 0)).alias("token_count"),
+        (number(positive, negative) + _emoji_hits(raw, lexicon.positive_emojis)).alias("positive_hits"),
+        (number(negative, positive) + _emoji_hits(raw, lexicon.negative_emojis)).alias("negative_hits"),
+        F.size(tokens).alias("token_count"),
     )
 
 

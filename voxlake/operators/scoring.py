@@ -17,6 +17,7 @@ from voxlake.functions.sentiment import (
     Lexicon,
     hits_score,
     lexicon_hits,
+    lexicon_tokens,
     probability_columns,
     score_label,
 )
@@ -37,7 +38,9 @@ ScorerFactory = Callable[[], Callable[[list[str]], Sequence[Scores]]]
 def score_with_lexicon(df: DataFrame, lexicon: Lexicon | None = None, text: str = "comment_text") -> DataFrame:
     """Score, label, hits and token count per row; the label looks at the unrounded score."""
     lex = lexicon or Lexicon()
-    scored = df.withColumn("_hits", lexicon_hits(F.col(text), lex)).withColumn("_score", hits_score(F.col("_hits")))
+    tokens = df.withColumn("_tokens", lexicon_tokens(F.col(text)))
+    hits = tokens.withColumn("_hits", lexicon_hits(F.col(text), F.col("_tokens"), lex))
+    scored = hits.withColumn("_score", hits_score(F.col("_hits")))
     return scored.withColumns(
         {
             "sentiment_score": F.round("_score", 4),
@@ -46,7 +49,7 @@ def score_with_lexicon(df: DataFrame, lexicon: Lexicon | None = None, text: str
             "negative_hits": F.col("_hits.negative_hits").cast("bigint"),
             "token_count": F.col("_hits.token_count").cast("bigint"),
         }
-    ).drop("_hits", "_score")
+    ).drop("_tokens", "_hits", "_score")
 
 
 def _lexicon_columns(df: DataFrame, lexicon: Lexicon | None) -> DataFrame:

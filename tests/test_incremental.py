@@ -4,6 +4,7 @@ import json
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,6 +285,21 @@ def test_a_failed_write_leaves_nothing(spark, tmp_path):
     assert connector.read_documents(spark, path).count() == 4
 
 
+def test_a_task_that_outlives_its_write_leaves_nothing(tmp_path):
+    """The write fails while one of its tasks goes on: what that one writes later has no folder to go to."""
+    from voxlake.sources import connector
+
+    path = str(tmp_path / "store")
+    writer = connector.document_source()({"path": path}).writer(None, False)
+    batch = pa.RecordBatch.from_pydict({"comment_id": ["c1"], "collection_date": ["2024-01-01"]})
+    writer.write(iter([batch]))
+    assert files(path)
+    writer.abort([])
+    with pytest.raises(RuntimeError, match="given up"):
+        writer.write(iter([batch]))
+    assert not files(path)
+
+
 def test_ranges_go_to_the_log(spark, tmp_path):
     """The log stays where it is read: met by topic and partition it would come to a task for each partition."""
     log = spark.range(1000).selectExpr("'t' AS topic", "id % 2 AS partition", "id AS offset", "'k' AS key", "'v' AS value")

@@ -3,7 +3,8 @@
 The store is a folder in any file system that Arrow reaches (``file://``, ``hdfs://``, ``s3://``, ...): segments, which
 are Parquet files written one per task, and commits, small JSON files that name the segments of one write. Only what a
 commit names is part of the store, so a write shows whole or not at all; a failed write deletes its segments, and a
-commit deletes those that retried or speculative tasks of its write have left.
+commit deletes those that retried or speculative tasks of its write have left. The folder of a write's segments is made
+before its tasks begin, and no task makes it anew: one that runs on after its write has failed finds it gone and stops.
 
 A read has one partition per segment. A commit knows the values that each segment holds in the store's ``by`` column
 (``collection_date`` unless told otherwise), so a read that asks for one value skips the other segments before they are
@@ -103,6 +104,11 @@ def document_source() -> type:
         def __init__(self, options):
             self.options, self.job = dict(options), uuid.uuid4().hex
 
+        def begin(self):
+            store, root = opened(self.options)
+            store.create_dir(f"{root}/segments/{self.job}", recursive=True)
+            return self
+
         def write(self, iterator):
             store, root = opened(self.options)
             by = self.options.get("by", "collection_date")
@@ -111,7 +117,8 @@ def document_source() -> type:
                 if not len(batch):
                     continue
                 if out is None:
-                    store.create_dir(f"{root}/segments/{self.job}", recursive=True)
+                    if store.get_file_info(f"{root}/segments/{self.job}").type == fs.FileType.NotFound:
+                        raise RuntimeError("the write has been given up")
                     sink = store.open_output_stream(f"{root}/{path}")
                     out = pq.ParquetWriter(sink, batch.schema)
                 out.write_batch(batch)
@@ -134,6 +141,8 @@ def document_source() -> type:
             for file in store.get_file_info(fs.FileSelector(f"{root}/segments/{self.job}", allow_not_found=True)):
                 if file.path not in named:
                     store.delete_file(file.path)
+            if not kept:
+                self.abort(messages)
             before = commits(store, root)
             number = 1 + max((c["number"] for c in before), default=0)
             body = {"number": number, "at": time.time(), "segments": [{"path": m.path, "rows": m.rows, "values": m.values} for m in kept]}
@@ -173,7 +182,7 @@ def document_source() -> type:
         def writer(self, schema, overwrite):
             if overwrite:
                 raise ValueError("a document store is added to; delete its folder to begin anew")
-            return Writer(self.options)
+            return Writer(self.options).begin()
 
     return Documents
 

@@ -189,7 +189,7 @@ def _latest_stream(spark, d):
     folder, path, checkpoint = scratch(spark, "in"), scratch(spark, "latest"), scratch(spark, "checkpoint")
     rows = untidy(spark, d).withColumn("source_table", F.lit("daily"))
     for part in (1, 0):
-        rows.filter(F.col("position") % 2 == part).coalesce(2).write.mode("append").parquet(folder)
+        rows.filter(F.col("position") % 2 == part).write.mode("append").parquet(folder)
         latest.drain_latest(spark.readStream.schema(rows.schema).parquet(folder), path, checkpoint, dealt=8)
     return _silver_view(latest.read_latest(spark, path))
 

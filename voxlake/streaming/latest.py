@@ -1,9 +1,13 @@
 """Latest version per comment as a stream: keyed state holds each comment's newest version, changes come out.
 
-The state of a comment is the rank of its newest version alone (three times and a hash), not its row. A version that is
-not newer is passed over, however late it comes; a newer one is given out and replaces the rank. The order is that of
-``silver.latest_versions``, so the rows that the stream has given out last are the rows of the batch table. State that
-has had no new version for ``keep`` is forgotten, if such a time is set; a comment whose state is gone starts anew.
+A version that is not newer is passed over, however late it comes; a newer one is given out and takes its place. The
+order is a rank of three times and a hash, that of ``silver.latest_versions``, so the rows that the stream has given out
+last are the rows of the batch table.
+
+State kept for good is that of a streaming aggregate: the newest row of a comment, its rank and the micro-batch that
+brought it; no row goes to Python. State that has had no new version for ``keep`` is forgotten, if such a time is set; a
+comment whose state is gone starts anew. That needs a processor in Python, which holds the rank alone and asks for it
+comment by comment: far slower (README). A checkpoint of one kind cannot be carried on with the other.
 
 The sink is a store of hash buckets by comment id: a micro-batch rewrites the buckets in which it changes a row, and a
 repeated one changes nothing.
@@ -23,10 +27,18 @@ from voxlake.sinks import buckets
 KEY = "comment_id"
 _TIMES = ("comment_updated_at", "comment_published_at", "ingested_at")
 _RANK = ("rank_updated", "rank_published", "rank_ingested", "rank_tie")
+_ARRIVED = "rank_arrived_at"
 #: Stands for no time: before all others.
 _NEVER = -(1 << 63)
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: State on disk, in memory within a bound for all stores of an executor. A micro-batch leaves a log of its changes instead
+#: of the store's files; rows are not looked up to be counted.
+_STORE_CONF = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -48,7 +60,7 @@ def _restored(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select([back[kind](name).alias(name) if kind in back else F.col(name) for name, kind in like.dtypes])
 
 
-def _processor(names: list[str], keep_ms: int | None):
+def _processor(names: list[str], keep_ms: int):
     from pyspark.sql.streaming import StatefulProcessor
 
     rank_names = _RANK
@@ -74,17 +86,28 @@ def _processor(names: list[str], keep_ms: int | None):
     return Newest()
 
 
+def _changes_kept_for(rows: DataFrame, keep: int) -> DataFrame:
+    keyed = _as_numbers(_ranked(rows)).groupBy(KEY)
+    changes = keyed.transformWithState(_processor(rows.columns, 1000 * keep), _as_numbers(rows).schema, "Update", "ProcessingTime")
+    return _restored(changes, rows)
+
+
 def latest_changes(bronze: DataFrame, keep: int | None = None) -> DataFrame:
     """Curated rows of a stream of bronze comments that are newer than all earlier versions of their comment.
 
     ``keep`` is the number of seconds after which a comment's state is forgotten; without it, state is kept for good.
-    The query needs the state store of :func:`start`.
+    The query needs the state store of :func:`drain_latest` and the output mode ``update``.
     """
     rows = has_required_fields(curate(bronze))
-    processor = _processor(rows.columns, None if keep is None else 1000 * keep)
-    keyed = _as_numbers(_ranked(rows)).groupBy(KEY)
-    out = keyed.transformWithState(processor, _as_numbers(rows).schema, "Update", "None" if keep is None else "ProcessingTime")
-    return _restored(out, rows)
+    if keep is not None:
+        return _changes_kept_for(rows, keep)
+    # Of equal ranks the one that came first stays, so that a version that comes again is not given out again.
+    order = F.struct(*_RANK, (-F.unix_micros(_ARRIVED)).alias("sooner"))
+    held = F.struct(*[name for name in rows.columns if name != KEY], _ARRIVED)
+    arrived = _ranked(rows).withColumn(_ARRIVED, F.current_timestamp())
+    newest = arrived.groupBy(KEY).agg(F.max_by(held, order).alias("newest")).select(KEY, "newest.*")
+    # The time is the micro-batch's: one in all its rows, and the same one when the micro-batch is repeated.
+    return newest.filter(F.col(_ARRIVED) == F.current_timestamp()).select(rows.columns)
 
 
 def drain_latest(bronze: DataFrame, path: str, checkpoint: str, keep: int | None = None, dealt: int = buckets.BUCKETS) -> dict[str, int]:
@@ -97,8 +120,9 @@ def drain_latest(bronze: DataFrame, path: str, checkpoint: str, keep: int | None
         for name in totals:
             totals[name] += found[name]
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    before = {name: spark.conf.get(name, None) for name in _STORE_CONF}
+    for name, value in _STORE_CONF.items():
+        spark.conf.set(name, value)
     try:
         query = (
             latest_changes(bronze, keep)
@@ -110,7 +134,8 @@ def drain_latest(bronze: DataFrame, path: str, checkpoint: str, keep: int | None
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
     return totals
 
 

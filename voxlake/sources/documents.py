@@ -222,8 +222,8 @@ def _split_by_lines(spark: SparkSession, path: str | Sequence[str]) -> list[str]
     )
     whole = (F.col("bytes") - F.col("file_size")).between(0, 1)  # no line was too long; breaks are of one byte
     listed = (F.col("opening") == 1) & (F.col("closing") == 1) & (F.col("commas") == F.col("elements") - 1)
-    # Names of files, not rows.
-    return [r[0] for r in found.filter(F.col("plain") & whole & listed).select("source_path").collect()]
+    # One row: names of files.
+    return found.filter(F.col("plain") & whole & listed).agg(F.sort_array(F.collect_list("source_path"))).first()[0]
 
 
 def read_threads(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
